@@ -93,7 +93,7 @@ def text_funcs(spark, sf_dir):
         F.upper("category").alias("upper"),
         F.lower("category").alias("lower"),
         text.text_before(name, " ").alias("first_word"),
-        text.title_month(day).alias("month_name"),
+        dates.title_month(day).alias("month_name"),
     )
 
 
@@ -255,7 +255,7 @@ _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
     + " from v_count group by part_id",
 )
 def pivot_measures(spark, sf_dir):
-    counts = role(spark, sf_dir, "v_count").withColumn("month", text.title_month(F.col("delivery_date")))
+    counts = role(spark, sf_dir, "v_count").withColumn("month", dates.title_month(F.col("delivery_date")))
     return aggs.pivot_measures(
         counts, ["part_id"], "month", list(_MONTHS), {"stock": F.col("physical_balance"), "rows": F.lit(1)}
     )

@@ -261,18 +261,15 @@ left join v_part p on p.part_id = m.movement_id and m.type_code in (2, 11, 16, 1
 )
 def typed_lookup(spark, sf_dir):
     orders = role(spark, sf_dir, "v_order").select(
-        text.concat_text("N", F.col("order_id")).alias("doc_number"), "order_number"
+        text.concat_text("N", F.col("order_id")).alias("order_key"), "order_number"
     )
-    parts = role(spark, sf_dir, "v_part").select(text.concat_text("N", F.col("part_id")).alias("doc_number"), "part_name")
+    parts = role(spark, sf_dir, "v_part").select(text.concat_text("N", F.col("part_id")).alias("part_key"), "part_name")
     movement = role(spark, sf_dir, "v_movement").withColumn("doc_number", text.concat_text("N", F.col("movement_id")))
     return joins.typed_lookup(
         movement,
         "doc_number",
         "type_code",
-        {
-            "order_number": (orders, "order_number", [3, 9, 14, 29]),
-            "part_name": (parts, "part_name", [2, 11, 16, 17]),
-        },
+        [(orders, "order_key", [3, 9, 14, 29]), (parts, "part_key", [2, 11, 16, 17])],
     )
 
 

@@ -54,3 +54,8 @@ def as_timestamp(value) -> Column:
 
 def as_date(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)[:10]).cast("date")
+
+
+def title_month(when: Column) -> Column:
+    """Short month name such as ``Jan``."""
+    return F.initcap(F.date_format(when, "MMM"))

@@ -28,11 +28,6 @@ def text_before(text: Column, separator: str) -> Column:
     return F.substring_index(text, separator, 1)
 
 
-def title_month(day: Column) -> Column:
-    """Short month name such as ``Jan``."""
-    return F.initcap(F.date_format(day, "MMM"))
-
-
 def first_nonempty(*columns: Column) -> Column:
     """First value that is neither NULL nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in columns])

@@ -58,20 +58,39 @@ def typed_lookup(
     df: DataFrame,
     key: str,
     type_code: str,
-    targets: dict[str, tuple[DataFrame, str, list[int]]],
+    targets: list[tuple[DataFrame, str, list[int]]],
 ) -> DataFrame:
     """One text key that points into a different table depending on a type code.
 
-    ``targets`` maps an output column to (table, value column, type codes); the table's own key is
-    its column ``key``. The key is set to NULL for other types, so no match is tried for them.
+    Each target is (table, its key column, type codes); the table's other columns are added. The
+    key counts as NULL for other types, so no match is tried for them.
     """
-    for out, (table, value, codes) in targets.items():
+    for table, table_key, codes in targets:
         hit = F.when(F.col(type_code).isin(codes), F.col(key))
-        side = table.select(F.col(key).alias("__key"), F.col(value).alias(out))
-        df = df.join(side, hit == F.col("__key"), "left").drop("__key")
+        df = df.join(table, hit == F.col(table_key), "left").drop(table_key)
     return df
 
 
+def lookup_in(df: DataFrame, table: DataFrame, keys: list[str], table_key: str) -> DataFrame:
+    """Left join on ``table_key IN (keys)``, for a table whose key is unique.
+
+    One equi-join per key; a row gets one output row per table row found, or one with NULLs. A
+    value that two keys share is looked up once.
+    """
+    columns = [c for c in table.columns if c != table_key]
+    found = []
+    for i, key in enumerate(keys):
+        hit = F.col(key)
+        for earlier in keys[:i]:
+            hit = F.when(~F.col(key).eqNullSafe(F.col(earlier)), hit)
+        side = table.select(F.col(table_key).alias("__key"), F.struct(*columns).alias(f"__found_{i}"))
+        df = df.join(side, hit == F.col("__key"), "left").drop("__key")
+        found.append(f"__found_{i}")
+    hits = F.filter(F.array(*found), lambda x: x.isNotNull())
+    df = df.withColumn("__hit", F.explode_outer(hits)).drop(*found)
+    return df.withColumns({c: F.col("__hit")[c] for c in columns}).drop("__hit")
+
+
 def attribute_lookup(
     df: DataFrame,
     attributes: DataFrame,
@@ -110,6 +129,20 @@ def not_in_scope(
     )
 
 
+def salted_join(
+    big: DataFrame, small: DataFrame, on: list[str], row_id: str, how: str = "inner", salts: int = 16
+) -> DataFrame:
+    """Join of many rows to one row per key, for a result that is then aggregated by the same key.
+
+    Without the salt the aggregate would reuse the partitioning of the join, and Spark then cannot
+    split a hot key. The salt spreads the rows of a key over ``salts`` tasks, each of which
+    aggregates its share; the small side is repeated once per salt.
+    """
+    spread = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
+    return salted.join(spread, [*on, "__salt"], how).drop("__salt")
+
+
 def pair_legs(df: DataFrame, keys: list[str], amount: str, out: list[str], incoming: dict[str, str]) -> DataFrame:
     """Outgoing legs (negative amount) with their incoming legs on equal keys, if any.
 
