@@ -232,10 +232,18 @@ select a.*, case when a.debit > 0 then cr.names when a.credit > 0 then de.names
 from a left join cr on cr.voucher_id = a.voucher_id left join de on de.voucher_id = a.voucher_id""",
 )
 def contra_accounts(spark, sf_dir):
-    rows = role(spark, sf_dir, "v_voucher_row")
-    contra = aggs.contra_accounts(rows, "voucher_id", "account_id", "debit", "credit")
-    sums = rows.groupBy("voucher_id", "account_id").agg(F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
-    return sums.join(contra, "voucher_id", "left").withColumn(
+    entries = (
+        role(spark, sf_dir, "v_voucher_row")
+        .groupBy("voucher_id", "account_id")
+        .agg(
+            F.sum("debit").alias("debit"),
+            F.sum("credit").alias("credit"),
+            F.max("debit").alias("highest_debit"),
+            F.max("credit").alias("highest_credit"),
+        )
+    )
+    listed = aggs.contra_accounts(entries, "voucher_id", "account_id", "highest_debit", "highest_credit")
+    return listed.withColumn(
         "contra",
         F.when(F.col("debit") > 0, F.col("credit_accounts")).when(F.col("credit") > 0, F.col("debit_accounts")),
     )

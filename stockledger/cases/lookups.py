@@ -74,7 +74,7 @@ def asof_max_by(spark, sf_dir):
         ["logging_ts", "movement_id"],
         ["physical_balance", "counted_at"],
         cells=_months,
-        unique=True,
+        dedupe=False,
     )
 
 

@@ -787,7 +787,7 @@ def balance_since_count(spark, sf_dir):
     movement = role(spark, sf_dir, "v_movement")
     days = movement.select("part_id", F.to_date("logging_ts").alias("day")).distinct()
     counts = movement.filter("type_code = 4").withColumn("since", F.col("logging_ts"))
-    points = temporal.asof_max_by(days, counts, ["part_id"], "day", "delivery_date", ["logging_ts"], ["since"], unique=True)
+    points = temporal.asof_max_by(days, counts, ["part_id"], "day", "delivery_date", ["logging_ts"], ["since"], dedupe=False)
     return temporal.sum_since_mark(
         points,
         movement.filter("type_code <> 4"),

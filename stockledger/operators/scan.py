@@ -63,6 +63,7 @@ def scan(
     cells: dict[str, Column] | None = None,
     reverse: bool = False,
     peers: bool = False,
+    basis: DataFrame | None = None,
 ) -> DataFrame:
     """Adds one column per entry of ``values``: its running value per ``keys`` in ``order``.
 
@@ -70,17 +71,24 @@ def scan(
     order, or together when ``peers`` is set. ``reverse`` runs from the last row to the first.
     ``cells`` names expressions that never decrease along ``order``, coarse to fine; a group is
     then split over as many tasks as it has cells. Without cells this is a plain window.
+
+    The cell totals read the input a second time. If ``df`` is expensive because of columns the
+    totals do not need, give as ``basis`` the same rows without them.
     """
     inputs = {f"__in_{name}": value for name, value in values.items()}
-    tagged = df.withColumns({c: v.column for c, v in inputs.items()})
-    if cells:
-        tagged = tagged.withColumns(cells)
-    result = _scan(tagged, keys, order, inputs, list(cells or {}), reverse, peers, inclusive=True)
+
+    def tag(rows):
+        tagged = rows.withColumns({c: v.column for c, v in inputs.items()})
+        return tagged.withColumns(cells) if cells else tagged
+
+    result = _scan(
+        tag(df), keys, order, inputs, list(cells or {}), reverse, peers, True, None if basis is None else tag(basis)
+    )
     kept = [F.col(c) for c in df.columns]
     return result.select(*kept, *[F.col(f"__out_{c}").alias(c[len("__in_"):]) for c in inputs])
 
 
-def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive):
+def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive, basis=None):
     def ordered(names):
         return [F.col(c).desc() if reverse else F.col(c).asc() for c in names]
 
@@ -93,10 +101,10 @@ def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive):
         window = frame(Window.partitionBy(*keys).orderBy(*ordered(order)))
         return df.withColumns({f"__out_{c}": v.over(F.col(c), window) for c, v in inputs.items()})
 
-    totals = df.groupBy(*keys, *cells).agg(
+    totals = (df if basis is None else basis).groupBy(*keys, *cells).agg(
         *[v.total(F.col(c), order, reverse).alias(c) for c, v in inputs.items()]
     )
-    carry = _scan(totals, keys, cells, inputs, cells[:-1], reverse, False, inclusive=False).select(
+    carry = _scan(totals, keys, cells, inputs, cells[:-1], reverse, False, False).select(
         *keys,
         *cells,
         *[F.col(f"__out_{c}").alias(c) for c in inputs],
@@ -121,9 +129,9 @@ def day_id_cells(day: Column, row_id: str, width: int = 1 << 20) -> dict[str, Co
     return {"__cell_day": day, "__cell_slice": F.floor(F.col(row_id) / F.lit(width))}
 
 
-def running_total(df, keys, order, value: str, out: str, cells=None, reverse=False) -> DataFrame:
+def running_total(df, keys, order, value: str, out: str, cells=None, reverse=False, basis=None) -> DataFrame:
     """Sum of ``value`` from the first row of the group to this one."""
-    return scan(df, keys, order, {out: running_sum(F.col(value))}, cells, reverse)
+    return scan(df, keys, order, {out: running_sum(F.col(value))}, cells, reverse, basis=basis)
 
 
 def fill_forward(df, keys, order, value: str, out: str, cells=None) -> DataFrame:
@@ -164,14 +172,34 @@ def fill_gaps(
         },
         cells,
     )
-    islands = ranked.groupBy(*keys, "island").agg(
-        F.max(number).alias("__anchor"),
-        F.min(F.col("__missing") - F.when(missing, 1).otherwise(0)).alias("__before"),
-        F.sum(F.when(missing, 1).otherwise(0)).alias("__size"),
+    # What a row tells about its own island and, if it has a number, about the island before: that
+    # number is the next one there.
+    def about(island, anchor, following, before, size):
+        return F.struct(
+            island.cast("long").alias("island"),
+            anchor.alias("anchor"),
+            following.alias("following"),
+            before.cast("long").alias("before"),
+            size.cast("long").alias("size"),
+        )
+
+    none, text = F.lit(None), F.col(number)
+    gap = F.when(missing, 1).otherwise(0)
+    facts = F.array(
+        about(F.col("island"), text, none.cast(ranked.schema[number].dataType), F.col("__missing") - gap, gap),
+        about(F.when(~missing, F.col("island") - 1), none.cast(ranked.schema[number].dataType), text, none, none),
+    )
+    context = (
+        ranked.select(*keys, F.explode(facts).alias("fact"))
+        .filter("fact.island is not null")
+        .groupBy(*keys, F.col("fact.island").alias("island"))
+        .agg(
+            F.max("fact.anchor").alias("__anchor"),
+            F.max("fact.following").alias("__next"),
+            F.min("fact.before").alias("__before"),
+            F.sum("fact.size").alias("__size"),
+        )
     )
-    following = islands.select(*keys, (F.col("island") - 1).alias("island"), F.col("__anchor").alias("__next"))
-    # Island 0 exists only if the numbers start late, so the islands to join back are those seen.
-    context = _join_safe(islands, following, keys + ["island"], "left")
     step = F.col("__missing") - F.col("__before")
     return (
         _join_safe(ranked, context, keys + ["island"], "left")

@@ -55,18 +55,19 @@ def asof_join(
     values: list[str],
     tie: list[str] | None = None,
     cells=None,
-    unique: bool = False,
+    dedupe: bool = True,
 ) -> DataFrame:
     """Left rows with the ``values`` of the last right row at or before ``left_time``.
 
     Among right rows of the same time the one with the greatest ``tie`` (then values) wins. Both
     sides shrink first: the right side to one row per key and time, the left side to its distinct
-    points. ``unique`` says the left rows are already one per key and time, which saves joining
-    the points back. ``cells`` (a function of the time column name) splits hot keys.
+    points, which are joined back at the end. With ``dedupe=False`` the left rows themselves are
+    scanned, which saves that join; use it where a key has few left rows, and no NULL in key or
+    time. ``cells`` (a function of the time column name) splits hot keys.
     """
     best = F.max(F.struct(*(tie or []), *values))
     steps = right.groupBy(*on, F.col(right_time).alias(_T)).agg(best.alias(_VALUE))
-    return _lookup(left, steps, on, left_time, values, running_last, cells, unique)
+    return _lookup(left, steps, on, left_time, values, running_last, cells, dedupe)
 
 
 def asof_max_by(
@@ -78,38 +79,33 @@ def asof_max_by(
     by: list[str],
     values: list[str],
     cells=None,
-    unique: bool = False,
+    dedupe: bool = True,
 ) -> DataFrame:
     """Among right rows with ``right_time <= left_time``, the values of the one greatest in ``by``."""
     best = F.max(F.struct(*by, *values))
     steps = right.groupBy(*on, F.col(right_time).alias(_T)).agg(best.alias(_VALUE))
-    return _lookup(left, steps, on, left_time, values, running_max, cells, unique)
+    return _lookup(left, steps, on, left_time, values, running_max, cells, dedupe)
 
 
-def _lookup(left, steps, on, left_time, values, running, cells, unique):
+def _lookup(left, steps, on, left_time, values, running, cells, dedupe):
     taken = [c for c in values if c in left.columns]
     if taken:
         raise ValueError(f"columns already on the left side: {taken}")
-    known = F.col(left_time).isNotNull()
-    for c in on:
-        known = known & F.col(c).isNotNull()
-    points = left.withColumn(_T, F.col(left_time)) if unique else left.select(*on, F.col(left_time).alias(_T))
-    points = points.filter(known if unique else _not_null([*on, _T]))
-    if not unique:
-        points = points.distinct()
-    steps = steps.filter(_not_null([*on, _T]))
-    both = points.withColumn(_SIDE, F.lit(1)).unionByName(
-        steps.withColumn(_SIDE, F.lit(0)), allowMissingColumns=True
-    )
+    if dedupe:
+        points = left.select(*on, F.col(left_time).alias(_T)).filter(_not_null([*on, _T])).distinct()
+    else:
+        points = left.withColumn(_T, F.col(left_time))
+    steps = steps.filter(_not_null([*on, _T])).withColumn(_SIDE, F.lit(0))
+    both = points.withColumn(_SIDE, F.lit(1)).unionByName(steps, allowMissingColumns=True)
+    where = points.select(*on, _T).withColumn(_SIDE, F.lit(1)).unionByName(steps, allowMissingColumns=True)
     found = (
-        scan(both, on, [_T, _SIDE], {"__found": running(F.col(_VALUE))}, cells(_T) if cells else None)
+        scan(both, on, [_T, _SIDE], {"__found": running(F.col(_VALUE))}, cells(_T) if cells else None, basis=where)
         .filter(F.col(_SIDE) == 1)
         .withColumns({v: F.col("__found")[v] for v in values})
         .drop(_SIDE, _VALUE, "__found")
     )
-    if unique:
-        rest = left.filter(~F.coalesce(known, F.lit(False)))
-        return found.drop(_T).unionByName(rest, allowMissingColumns=True)
+    if not dedupe:
+        return found.drop(_T)
     return left.join(found.withColumnRenamed(_T, left_time), [*on, left_time], "left")
 
 

@@ -9,6 +9,7 @@ from stockledger.functions.dates import as_timestamp, date_fmt
 from stockledger.functions.text import text_before
 from stockledger.operators.joins import prefix_join
 from stockledger.operators.scan import fill_gaps, time_cells
+from stockledger.operators.stage import staged
 from stockledger.operators.temporal import first_match_join
 from stockledger.sources.catalog import Catalog
 
@@ -83,7 +84,7 @@ def gap_fill_number(catalog: Catalog, start, end) -> DataFrame:
     The order is one sequence over all users. It is cut by day and minute, so only the totals per
     day ever meet in one task. Rows of the same time count in the order of their other columns.
     """
-    documents = document_status(catalog, start, end)
+    documents = staged(document_status(catalog, start, end))
     order = [
         "LoggingTimeStamp", "UserName", "UndoLoggingTime", "UndoUserName", "DeliveryNoteNumber",
         "ReplacedDeliveryNoteNumber", "DeliveryDate",

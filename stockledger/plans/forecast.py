@@ -10,6 +10,7 @@ from stockledger.functions.labels import SCHEDULE_STATUS, code_label
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import list_distinct
 from stockledger.operators.scan import time_cells
+from stockledger.operators.stage import staged
 from stockledger.operators.temporal import asof_join, first_match, latest_version
 from stockledger.plans.orders import DELETED, FINISHED, FIXED_ORDER, FORECAST, customers
 from stockledger.sources.catalog import Catalog
@@ -208,8 +209,10 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
     )
     current = latest_version(schedules, ["DS_CustomerId", "DSP_PartId"], "DS_CustomerDeliveryScheduleDate")
     # The customer's order, part, unit and day decide all lookups, so calls are summed before them.
-    summed = current.groupBy("DS_CustomerId", "DSP_PartId", "DSP_CustomerOrderNumber", "DSP_UnitId", "DSC_DeliveryDate").agg(
-        F.sum("DSC_Quantity").alias("quantity")
+    summed = staged(
+        current.groupBy("DS_CustomerId", "DSP_PartId", "DSP_CustomerOrderNumber", "DSP_UnitId", "DSC_DeliveryDate").agg(
+            F.sum("DSC_Quantity").alias("quantity")
+        )
     )
     currencies = catalog.aliased("Currency", "NC")
     prices = (

@@ -76,22 +76,37 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         )
     )
     accounts = catalog.aliased("Account", "A")
-    numbered = per_account.join(accounts, F.col("B_AccountId") == F.col("A_Id"), "left")
-    contra = contra_accounts(numbered, "VR_VoucherId", "A_Number", "debit", "credit").withColumnRenamed(
-        "VR_VoucherId", "contra_voucher"
+    booked = contra_accounts(
+        per_account.join(accounts, F.col("B_AccountId") == F.col("A_Id"), "left"),
+        "VR_VoucherId",
+        "A_Number",
+        "debit",
+        "credit",
     )
-
-    entries = (
-        vouchers.select("V_Id", "V_VoucherDate")
-        .join(numbered, F.col("V_Id") == F.col("VR_VoucherId"), "left")
-        .withColumn(
-            "DifferenceInCompanyCurrency", F.col("DebitInCompanyCurrency") - F.col("CreditInCompanyCurrency")
+    headers = (
+        vouchers.join(
+            catalog.aliased("AccountsReceivableLedger", "ARL"), F.col("V_AccountsReceivableLedgerId") == F.col("ARL_Id"), "left"
         )
+        .join(catalog.aliased("AccountsPayableLedger", "APL"), F.col("V_AccountsPayableLedgerId") == F.col("APL_Id"), "left")
+        .join(catalog.aliased("AccountsReceivable", "AR"), F.col("V_AccountsReceivableId") == F.col("AR_Id"), "left")
+        .join(catalog.aliased("Customer", "C"), F.col("AR_BusinessContactId") == F.col("C_Id"), "left")
+        .join(catalog.aliased("CustomerRoot", "CR"), F.col("C_RootId") == F.col("CR_Id"), "left")
         .select(
-            "V_Id", "V_VoucherDate", "A_Id", "A_Number",
-            "DebitInCompanyCurrency", "CreditInCompanyCurrency", "DifferenceInCompanyCurrency",
+            "V_Id", "V_VoucherDate", "V_Text", "V_Number", "VS_Series", "AY_Id", "ARL_Number", "APL_Number",
+            "AR_InvoiceNumber", "AR_ChineseVatInvoiceNumber", "C_Alias", "CR_Name",
         )
     )
+    difference = F.col("DebitInCompanyCurrency") - F.col("CreditInCompanyCurrency")
+    entries = headers.join(booked, F.col("V_Id") == F.col("VR_VoucherId"), "left").withColumn(
+        "DifferenceInCompanyCurrency", difference
+    )
+    # The running sum needs the totals per account and day first; they need no texts.
+    amounts = (
+        vouchers.select("V_Id", "V_VoucherDate")
+        .join(per_account, F.col("V_Id") == F.col("VR_VoucherId"), "left")
+        .join(accounts.select("A_Id"), F.col("B_AccountId") == F.col("A_Id"), "left")
+        .select("V_Id", "V_VoucherDate", "A_Id", difference.alias("DifferenceInCompanyCurrency"))
+    )
     running = running_total(
         entries,
         ["A_Id"],
@@ -99,22 +114,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         "DifferenceInCompanyCurrency",
         "CumulativeTotalDifference",
         cells=day_id_cells(F.to_date("V_VoucherDate"), "V_Id"),
-    ).drop("V_VoucherDate")
-
-    headers = (
-        vouchers.join(
-            catalog.aliased("AccountsReceivableLedger", "ARL"), F.col("V_AccountsReceivableLedgerId") == F.col("ARL_Id"), "left"
-        )
-        .join(catalog.aliased("AccountsPayableLedger", "APL"), F.col("V_AccountsPayableLedgerId") == F.col("APL_Id"), "left")
-        .join(catalog.aliased("AccountsReceivable", "AR"), F.col("V_AccountsReceivableId") == F.col("AR_Id"), "left")
-        .join(catalog.aliased("Customer", "C"), F.col("AR_BusinessContactId") == F.col("C_Id"), "left")
-        .join(catalog.aliased("CustomerRoot", "CR"), F.col("C_RootId") == F.col("CR_Id"), "left")
-        .join(contra, F.col("V_Id") == F.col("contra_voucher"), "left")
-        .select(
-            F.col("V_Id").alias("header_id"), "V_VoucherDate", "V_Text", "V_Number", "VS_Series", "AY_Id", "ARL_Number",
-            "APL_Number", "AR_InvoiceNumber", "AR_ChineseVatInvoiceNumber", "C_Alias", "CR_Name",
-            "credit_accounts", "debit_accounts",
-        )
+        basis=amounts,
     )
     opening = opening_balance(catalog, year).withColumnRenamed("AccountId", "opening_account")
     names = (
@@ -124,8 +124,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         .select("AYS_AccountingYearId", "AYS_ParentId", F.col("DP_Text").alias("AccountName"))
     )
     joined = (
-        running.join(headers, F.col("V_Id") == F.col("header_id"))
-        .join(
+        running.join(
             names, (F.col("AYS_ParentId") == F.col("A_Id")) & (F.col("AYS_AccountingYearId") == F.col("AY_Id")), "left"
         )
         .join(opening, F.col("opening_account") == F.col("A_Id"), "left")

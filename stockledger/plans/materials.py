@@ -11,6 +11,7 @@ from stockledger.functions.numbers import differs, not_below_zero
 from stockledger.functions.text import json_field, looks_like_json
 from stockledger.operators.joins import not_in_scope, siblings
 from stockledger.operators.scan import day_id_cells, running_total
+from stockledger.operators.stage import staged
 from stockledger.operators.temporal import first_match
 from stockledger.sources.catalog import Catalog
 
@@ -90,7 +91,7 @@ def reported_below_estimate(
     )
     made = F.col("MOO_ReportedQuantity") + F.col("MOO_RejectedQuantity")
     reported = F.coalesce("MOM_ReportedQuantity", F.lit(0)) + F.coalesce("crushed_quantity", F.lit(0))
-    short = (
+    short = staged(
         joined.withColumn("MaterialReportedQuantity", reported)
         .withColumn("EstimatedReportedQuantity", (made * F.col("MOM_QuantityPerUnit")).cast("decimal(28,8)"))
         .withColumn("DifferenceReportedQuantity", F.col("MaterialReportedQuantity") - F.col("EstimatedReportedQuantity"))

@@ -9,6 +9,7 @@ from stockledger.functions.dates import as_date, in_days
 from stockledger.functions.numbers import whole
 from stockledger.functions.text import concat_text
 from stockledger.operators.spine import with_days
+from stockledger.operators.stage import staged
 from stockledger.operators.temporal import asof_join, asof_max_by, sum_since_mark
 from stockledger.plans.orders import DELETED
 from stockledger.sources.catalog import Catalog
@@ -180,7 +181,7 @@ def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse:
         F.col("BalanceOnPartAfterChange").alias("last_balance"),
     )
     with_balance = asof_join(
-        days, balances, ["PartId"], "day", "logged_day", ["last_balance"], tie=["LoggingTimeStamp", "Id"], unique=True
+        days, balances, ["PartId"], "day", "logged_day", ["last_balance"], tie=["LoggingTimeStamp", "Id"], dedupe=False
     )
     counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE).select(
         "PartId", "LoggingTimeStamp", "Id", F.to_date("DeliveryDate").alias("count_day"),
@@ -188,8 +189,10 @@ def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse:
     )
     with_count = asof_max_by(
         with_balance, counts, ["PartId"], "day", "count_day", ["LoggingTimeStamp", "Id"],
-        ["counted_at", "counted_balance"], unique=True,
+        ["counted_at", "counted_balance"], dedupe=False,
     )
+    # A few rows per part and day, read by every step that follows.
+    with_count = staged(with_count)
     changes = movement.filter(
         (F.col("BusinessTransactionContextType") != COUNT_CODE) & (F.col("WarehouseId") == warehouse)
     )

@@ -110,37 +110,43 @@ def stock_rollforward(
         ending = _last_counts(movement, effective == last, "end")
         upper = last
 
-    domain = (
-        movement.filter((F.col("WarehouseId") == warehouse) & effective.between(first, upper)).select(*PLACE).distinct()
+    change, code = F.col("BalanceChange"), F.col("BusinessTransactionContextType")
+    # Back-dated movements were recorded after the earliest of the opening counts, which keeps the
+    # older history out of the shuffle. One count per place, so a movement meets at most one row.
+    earliest = opening.select(F.min("opening_logged")).scalar()
+    late = movement.filter((code != COUNT_CODE) & (effective < first) & (logged >= earliest)).select(
+        "Id", *PLACE, "BalanceChange", "LoggingTimeStamp"
     )
-
-    change = F.col("BalanceChange")
-    ordinary = movement.filter(F.col("BusinessTransactionContextType") != COUNT_CODE).select(
-        "Id", *PLACE, "BusinessTransactionContextType", "BalanceChange", "LoggingTimeStamp", "DeliveryDate"
-    )
-    # One count per place, so each movement meets at most one row here.
     back_dated = (
-        salted_join(ordinary.filter(effective < first), opening.select(*PLACE, "opening_logged"), PLACE, "Id")
+        salted_join(late, opening.select(*PLACE, "opening_logged"), PLACE, "Id")
         .filter(logged >= F.col("opening_logged"))
         .groupBy(*PLACE)
         .agg(*signed_sums(change, "BackDateReceiptBalance", "BackDateIssueBalance"))
     )
-    in_period = ordinary.filter(effective.between(first, upper))
+
+    # The places with any movement in the period and the sums of those that count, in one pass.
+    in_period = movement.filter(effective.between(first, upper)).select(
+        "Id", *PLACE, "BusinessTransactionContextType", "BalanceChange", "LoggingTimeStamp", "WarehouseId"
+    )
     if variant == "cte" and not cutoff:
-        counted = in_period.filter(logged <= last)
+        limit = last
     else:
-        how = "inner" if variant == "apply" else "left"
-        limited = salted_join(in_period, ending.select(*PLACE, "end_logged"), PLACE, "Id", how)
-        if variant == "apply":
-            limit = F.col("end_logged")
-        else:
-            limit = F.coalesce("end_logged", last_day if variant == "cte" else last)
-        counted = limited.filter(logged <= limit)
-    groups = sum_by_group(change, F.col("BusinessTransactionContextType"), TRANSACTION_GROUPS) if variant == "cte" else []
-    moved = counted.groupBy(*PLACE).agg(*signed_sums(change, "ReceiptBalance", "IssueBalance"), *groups)
-
-    places = domain
-    for side in (opening, ending, back_dated, moved):
+        in_period = salted_join(in_period, ending.select(*PLACE, "end_logged"), PLACE, "Id", "left")
+        limit = F.col("end_logged")
+        if variant != "apply":
+            limit = F.coalesce(limit, upper)
+    counted = F.when((code != COUNT_CODE) & (logged <= limit), change)
+    groups = sum_by_group(counted, code, TRANSACTION_GROUPS) if variant == "cte" else []
+    places = (
+        in_period.groupBy(*PLACE)
+        .agg(
+            *signed_sums(counted, "ReceiptBalance", "IssueBalance"),
+            *groups,
+            F.max(F.col("WarehouseId") == warehouse).alias("in_warehouse"),
+        )
+        .filter("in_warehouse")
+    )
+    for side in (opening, ending, back_dated):
         places = places.join(side, PLACE, "left")
     parts = _with_unit(catalog, _stocked_parts(catalog), check_part=variant == "cte")
     attributes = catalog.table("ExtraField").filter(F.col("ParentClass") == PART_CLASS)
@@ -274,7 +280,7 @@ def _month_end_counts(catalog: Catalog, year: int, warehouse: int) -> DataFrame:
         .filter(F.col("PriceType") == STANDARD_PRICE)
         .select("PartId", "Timestamp", "NewPrice", F.to_date("Timestamp").alias("price_day"))
     )
-    priced = asof_join(month_end, prices, ["PartId"], "day", "price_day", ["NewPrice"], tie=["Timestamp"])
+    priced = asof_join(month_end, prices, ["PartId"], "day", "price_day", ["NewPrice"], tie=["Timestamp"], dedupe=False)
     return priced.withColumn("price", F.coalesce("NewPrice", F.lit(0))).withColumn(
         "amount", F.coalesce("balance", F.lit(0)) * F.col("price")
     )
