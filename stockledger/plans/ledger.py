@@ -9,6 +9,7 @@ from stockledger.functions.dates import in_year
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import contra_accounts
 from stockledger.operators.scan import day_id_cells, running_total
+from stockledger.operators.stage import staged
 from stockledger.sources.catalog import Catalog
 
 
@@ -64,7 +65,8 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
             F.max("VR_Credit").alias("credit"),
         )
     )
-    per_account = (
+    # Read twice below; staging it saves a second pass over all voucher rows.
+    per_account = staged(
         per_balance.join(vouchers.select("V_Id"), F.col("VR_VoucherId") == F.col("V_Id"), "left_semi")
         .join(catalog.aliased("Balance", "B", "Id", "AccountId"), F.col("VR_BalanceId") == F.col("B_Id"))
         .groupBy("VR_VoucherId", "B_AccountId")

@@ -71,7 +71,8 @@ def _daily(df: DataFrame, part: str, day: str, amount: str, name: str, *more: Co
 
 
 def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
-    """Ordered and delivered quantities per part, customer and day, for the given parts."""
+    """Ordered and delivered quantities of the given parts per day, by customer and, with a NULL
+    customer, over all of them."""
     orders = catalog.aliased("CustomerOrder", "CO", "Id", "BusinessContactId", "LifeCycleState")
     rows = catalog.aliased("CustomerOrderRow", "COR", "Id", "ParentOrderId", "PartId", "DeliveryDate", "OrderedQuantity", "LifeCycleState")
     customer = F.col("CO_BusinessContactId").alias("customer")
@@ -97,7 +98,9 @@ def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
         _daily(delivered, "COR_PartId", "CODR_DeliveryDate", "QC_BalanceChange", "delivered", customer),
         allowMissingColumns=True,
     )
-    return both.join(parts, "part", "left_semi").groupBy("part", "customer", "day").agg(
+    levels = F.array_distinct(F.array("customer", F.lit(None)))
+    counted = both.join(parts, "part", "left_semi").withColumn("customer", F.explode(levels))
+    return counted.groupBy("part", "customer", "day").agg(
         F.sum("ordered").alias("ordered"), F.sum("delivered").alias("delivered")
     )
 
@@ -165,24 +168,22 @@ def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse:
     ).withColumn("sold_part", F.coalesce("MainPartId", "PartId"))
 
     wanted = roles.select(F.coalesce("MainPartId", "PartId").alias("part")).distinct()
-    by_customer = _sales(catalog, start, end, wanted)
-    by_part = by_customer.groupBy("part", "day").agg(
-        F.sum("ordered").alias("ordered_all"), F.sum("delivered").alias("delivered_all")
-    )
-
+    sold = _sales(catalog, start, end, wanted).withColumnsRenamed({"part": "s_part", "customer": "s_customer", "day": "s_day"})
     supply = _supply(catalog, start, end, parts.select(F.col("Id").alias("part")))
 
     days = with_days(parts.select(F.col("Id").alias("PartId")), as_date(start), as_date(end))
     movement = catalog.table("InventoryMovement").join(
         parts.select(F.col("Id").alias("PartId")), "PartId", "left_semi"
     )
-    balances = movement.select(
+    after = F.date_add(as_date(end), 1).cast("timestamp")
+    balances = movement.filter(F.col("LoggingTimeStamp") < after).select(
         "PartId", "LoggingTimeStamp", "Id", F.to_date("LoggingTimeStamp").alias("logged_day"),
         F.col("BalanceOnPartAfterChange").alias("last_balance"),
     )
     with_balance = asof_join(
         days, balances, ["PartId"], "day", "logged_day", ["last_balance"], tie=["LoggingTimeStamp", "Id"], dedupe=False
     )
+    movement = movement.filter(F.col("DeliveryDate") < after)
     counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE).select(
         "PartId", "LoggingTimeStamp", "Id", F.to_date("DeliveryDate").alias("count_day"),
         F.col("LoggingTimeStamp").alias("counted_at"), F.col("BalanceOnPartAfterChange").alias("counted_balance"),
@@ -201,21 +202,19 @@ def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse:
         "moved",
     )
 
-    is_main, is_link = F.col("IsMain") == 1, F.col("IsCustomerLink") == 1
+    is_main = F.col("IsMain") == 1
     joined = (
         plan.join(on_stock, ["PartId", "day"], "left")
-        .join(by_part.withColumnRenamed("part", "sold_part"), ["sold_part", "day"], "left")
         .join(
-            by_customer.withColumnsRenamed({"part": "sold_part", "customer": "CustomerId"}),
-            ["sold_part", "CustomerId", "day"],
+            sold,
+            (F.col("s_part") == F.col("sold_part"))
+            & (F.col("s_day") == F.col("day"))
+            & F.col("s_customer").eqNullSafe(F.col("CustomerId")),
             "left",
         )
         .join(supply.withColumnRenamed("part", "PartId"), ["PartId", "day"], "left")
     )
 
-    def sold(name):
-        return whole(F.when(is_link, F.col(name)).otherwise(F.col(f"{name}_all")))
-
     def main(column):
         return whole(F.when(is_main, F.col(column)))
 
@@ -229,12 +228,12 @@ def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse:
         "RelativeRequirementNumber",
         "PartType",
         "MainPartId",
-        sold("ordered").alias("OrderedQuantity"),
+        whole(F.col("ordered")).alias("OrderedQuantity"),
         main("to_make").alias("ManufacturingSuggestionQuantity"),
         main("made").alias("ManufacturingQuantity"),
         main("to_buy").alias("PurchasingSuggestionQuantity"),
         main("arrived").alias("ArrivalQuantity"),
-        sold("delivered").alias("DeliveryQuantity"),
+        whole(F.col("delivered")).alias("DeliveryQuantity"),
         main("last_balance").alias("LastBalanceOnDay"),
         F.col("counted_at").alias("LastStockCountTakenDate"),
         moved.alias("TotalTransactionFromStockCountUntilCurrent"),
