@@ -13,10 +13,6 @@ def _days(time: str):
     return scan.time_cells(time, "day")
 
 
-def _months(time: str):
-    return scan.time_cells(time, "month")
-
-
 @case(
     "i:part_id s:location_name d:delivery_date i:movement_id n:physical_balance",
     """
@@ -45,7 +41,6 @@ def asof_join(spark, sf_dir):
         "delivery_date",
         "price_ts",
         ["new_price"],
-        cells=_months,
     )
 
 
@@ -73,7 +68,6 @@ def asof_max_by(spark, sf_dir):
         "delivery_date",
         ["logging_ts", "movement_id"],
         ["physical_balance", "counted_at"],
-        cells=_months,
         dedupe=False,
     )
 

@@ -63,7 +63,11 @@ def asof_join(
     sides shrink first: the right side to one row per key and time, the left side to its distinct
     points, which are joined back at the end. With ``dedupe=False`` the left rows themselves are
     scanned, which saves that join; use it where a key has few left rows, and no NULL in key or
-    time. ``cells`` (a function of the time column name) splits hot keys.
+    time.
+
+    After that a key has at most one row per point in time and side. For times that are whole days
+    this bounds the group by the days of the data, however many rows the key has. For finer times
+    pass ``cells`` (a function of the time column name) to split hot keys.
     """
     best = F.max(F.struct(*(tie or []), *values))
     steps = right.groupBy(*on, F.col(right_time).alias(_T)).agg(best.alias(_VALUE))

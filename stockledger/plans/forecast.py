@@ -9,7 +9,6 @@ from stockledger.functions.dates import in_days, month_of
 from stockledger.functions.labels import SCHEDULE_STATUS, code_label
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import list_distinct
-from stockledger.operators.scan import time_cells
 from stockledger.operators.stage import staged
 from stockledger.operators.temporal import asof_join, first_match, latest_version
 from stockledger.plans.orders import DELETED, FINISHED, FIXED_ORDER, FORECAST, customers
@@ -236,7 +235,6 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
         "delivery_day",
         "price_day",
         ["PriceChangeDate", "price", "CurrencyCode", "user_code"],
-        cells=lambda time: time_cells(time, "month"),
     )
     joined = _part_lookups(catalog, priced, "DSP_PartId", "DS_CustomerId", "DSP_UnitId")
     grouped = joined.groupBy(
