@@ -755,6 +755,7 @@ def gap_fill_number(spark, sf_dir):
     return documents.gap_fill_number(demo_catalog(spark, sf_dir), "2024-01-03", "2024-01-28")
 
 
+# Movements of the same time count in the order of their ids, hence the combined key in max_by below.
 # --- planning ------------------------------------------------------------------------------
 
 _ROLES = """
@@ -805,22 +806,24 @@ def balance_since_count(spark, sf_dir):
 PLANNED_PARTS = ("P0", "P3", "P8", "P15", "P77", "P149")
 
 
-@case(
+_ORDER_PLAN_COLUMNS = (
     "d:TransactionDate i:PartId s:PartNumber s:PartName s:PartDescription s:RelativeRequirementNumber s:PartType i:MainPartId n:OrderedQuantity "
     "n:ManufacturingSuggestionQuantity n:ManufacturingQuantity n:PurchasingSuggestionQuantity n:ArrivalQuantity n:DeliveryQuantity "
-    "n:LastBalanceOnDay t:LastStockCountTakenDate n:TotalTransactionFromStockCountUntilCurrent n:ActualLastBalanceOnDay",
-    f"""
+    "n:LastBalanceOnDay t:LastStockCountTakenDate n:TotalTransactionFromStockCountUntilCurrent n:ActualLastBalanceOnDay"
+)
+
+_ORDER_PLAN = f"""
 with roles as ({_ROLES}),
-days as (select cast(d as date) as day from generate_series(timestamp '2024-01-05', timestamp '2024-01-25', interval 1 day) g(d)),
+days as (select cast(d as date) as day from generate_series(timestamp '{{first}}', timestamp '{{last}}', interval 1 day) g(d)),
 grid as (
   select days.day, p.Id, p.PartNumber, p.Description, p.ExtraDescription, r.*, coalesce(r.MainPartId, p.Id) as sold, r.PartType = 'Main' as main
-  from t_Part p join roles r on r.PartId = p.Id cross join days where p.PartNumber in {PLANNED_PARTS}),
+  from t_Part p join roles r on r.PartId = p.Id cross join days {{chosen}}),
 mv as (select *, cast(LoggingTimeStamp as date) as ld, cast(DeliveryDate as date) as dd from t_InventoryMovement),
 points as (
   select g.Id, g.day,
-    (select max_by(BalanceOnPartAfterChange, LoggingTimeStamp) from mv where mv.PartId = g.Id and mv.ld <= g.day) as last_balance,
+    (select max_by(BalanceOnPartAfterChange, cast(epoch_us(LoggingTimeStamp) as hugeint) * 10000000000000000000 + Id) from mv where mv.PartId = g.Id and mv.ld <= g.day) as last_balance,
     (select max(LoggingTimeStamp) from mv where mv.PartId = g.Id and BusinessTransactionContextType = 4 and mv.dd <= g.day) as since,
-    (select max_by(BalanceOnPartAfterChange, LoggingTimeStamp) from mv where mv.PartId = g.Id and BusinessTransactionContextType = 4
+    (select max_by(BalanceOnPartAfterChange, cast(epoch_us(LoggingTimeStamp) as hugeint) * 10000000000000000000 + Id) from mv where mv.PartId = g.Id and BusinessTransactionContextType = 4
       and mv.dd <= g.day) as counted
   from (select distinct Id, day from grid) g),
 moves as (
@@ -861,7 +864,17 @@ select g.day as TransactionDate, g.Id as PartId, g.PartNumber, g.Description as
   cast(case when g.main then coalesce(p.last_balance, 0) else 0 end as decimal(20,0)) as LastBalanceOnDay, p.since as LastStockCountTakenDate,
   cast(case when g.main then coalesce(m.moved, 0) else 0 end as decimal(20,0)) as TotalTransactionFromStockCountUntilCurrent,
   cast(case when g.main then coalesce(p.counted, 0) + cast(coalesce(m.moved, 0) as decimal(20,0)) else 0 end as decimal(20,0)) as ActualLastBalanceOnDay
-from grid g left join points p on p.Id = g.Id and p.day = g.day left join moves m on m.Id = g.Id and m.day = g.day""",
+from grid g left join points p on p.Id = g.Id and p.day = g.day left join moves m on m.Id = g.Id and m.day = g.day"""
+
+
+@case(
+    _ORDER_PLAN_COLUMNS,
+    _ORDER_PLAN.format(first="2024-01-05", last="2024-01-25", chosen=f"where p.PartNumber in {PLANNED_PARTS}"),
 )
 def order_plan(spark, sf_dir):
     return planning.order_plan(demo_catalog(spark, sf_dir), "2024-01-05", "2024-01-25", list(PLANNED_PARTS))
+
+
+@case(_ORDER_PLAN_COLUMNS, _ORDER_PLAN.format(first="2024-01-10", last="2024-01-12", chosen=""))
+def order_plan_all_parts(spark, sf_dir):
+    return planning.order_plan(demo_catalog(spark, sf_dir), "2024-01-10", "2024-01-12")

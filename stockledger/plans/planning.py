@@ -152,14 +152,18 @@ def _supply(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
     return stacked.join(parts, "part", "left_semi").groupBy("part", "day").agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def order_plan(catalog: Catalog, start, end, part_numbers: list[str], warehouse: int = 1) -> DataFrame:
-    """Per day, part and role of the part: quantities ordered, suggested, made, bought, arrived and
+def order_plan(
+    catalog: Catalog, start, end, part_numbers: list[str] | None = None, warehouse: int = 1
+) -> DataFrame:
+    """Per day, part (of the list, or every part) and role of the part: quantities ordered, suggested, made, bought, arrived and
     delivered, the last balance of the day, and the balance counted up from the last stock count.
 
     The parts are picked first and every measure is summed per part and day before it meets the
     calendar, so the days multiply only the few rows of the result.
     """
-    parts = catalog.table("Part").filter(F.col("PartNumber").isin(list(part_numbers)))
+    parts = catalog.table("Part")
+    if part_numbers is not None:
+        parts = parts.filter(F.col("PartNumber").isin(list(part_numbers)))
     roles = part_roles(catalog, parts)
     plan = with_days(
         parts.select(F.col("Id").alias("PartId"), "PartNumber", "Description", "ExtraDescription").join(roles, "PartId"),
