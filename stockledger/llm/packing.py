@@ -27,15 +27,16 @@ TOKENIZER = "byte_bpe_50k.json"
 # white space next to each other are split only at spaces between two other characters.
 _IRREGULAR = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 _SAFE_SPLIT = re.compile(r"(?<=\S)(?= \S)")
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 600_000
 
 
 class WordTokenizer:
     """Ids of whole texts, by the tokenizer's own ids of each distinct word.
 
     The vocabulary splits a text before each single space before it merges bytes, so the ids of a text
-    are those of its words in a row. Words are encoded once per worker and kept; the store is emptied
-    when it holds ``_KEPT_WORDS``. Ids are bytes, little-endian, four each.
+    are those of its words in a row. The same holds before a comma or full stop after a letter. Words
+    are encoded once per worker and kept, the first ``_KEPT_WORDS`` of them; the rest are encoded
+    each time. Ids are bytes, little-endian, four each.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,13 +46,21 @@ class WordTokenizer:
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > _KEPT_WORDS:
-            self.known.clear()
-        missing = [x for x in words if x not in self.known]
-        if missing:
-            for word, code in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(code.ids, "<u4").tobytes()
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        codes = self.tokenizer.encode_batch(words, add_special_tokens=False)
+        return {word: np.array(code.ids, "<u4").tobytes() for word, code in zip(words, codes, strict=True)}
+
+    def _missing(self, pieces: list[str]) -> dict[str, bytes]:
+        known = self.known
+        missing = {x for x in pieces if x not in known}
+        stems = {x: x[:-1] for x in missing if x[-1:] in (",", ".") and x[-2:-1].isalpha()}
+        fresh = {x for x in missing if x not in stems} | {x for x in stems.values() if x not in known} | ({",", "."} if stems else set())
+        codes = self._encode(sorted(fresh))
+        for word, stem in stems.items():
+            codes[word] = (codes.get(stem) or known[stem]) + codes[word[-1]]
+        if len(known) + len(codes) <= _KEPT_WORDS:
+            known.update(codes)
+        return codes
 
     def _pieces(self, text: str) -> list[str]:
         if any(x in text for x in self.special):
@@ -70,16 +79,22 @@ class WordTokenizer:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        pieces = self._pieces(text)
-        known = self.known
+        pieces, known = self._pieces(text), self.known
         try:
             return b"".join([known[x] for x in pieces])
         except KeyError:
-            self._learn(set(pieces))
-        known = self.known
-        if len(known) > 2 * _KEPT_WORDS:  # one text of very many words: don't keep them
-            self.known = {}
-        return b"".join([known[x] for x in pieces])
+            codes = self._missing(pieces)
+        return b"".join([codes[x] if x in codes else known[x] for x in pieces])
+
+
+_tokenizers: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per worker process, for all its tasks."""
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -96,7 +111,7 @@ def token_stream(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer or tokenizer_path())
+        words = word_tokenizer(tokenizer or tokenizer_path())
         width = _width(words.tokenizer.get_vocab_size(), end_id)
         end = b"" if end_id is None else np.array([end_id], width).tobytes()
         part, before = TaskContext.get().partitionId(), 0

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import stockledger.llm
 from stockledger.llm import packing, secrets, simhash
 from stockledger.llm.store import table
 
-# Code that runs in Python workers travels with the task, wherever this repository lies.
-cloudpickle.register_pickle_by_value(stockledger.llm)
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table; Python workers of this session find the package where this file lies."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, paths) if x)
+    return table(spark, sf_dir, name)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(documents(spark, sf_dir))
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found, _ = secrets.find_secrets(documents(spark, sf_dir))
     spans = F.col("spans")
     kinds = [x.kind for x in secrets.BASE_RULES]
     base = F.filter(spans, lambda x: x["kind"].isin(kinds))
@@ -34,7 +41,7 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
