@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import packing, secrets, simhash
+from stockledger.llm import decontaminate, packing, quality, secrets, simhash
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +23,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return table(spark, sf_dir, name)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.fit(docs, documents(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -44,10 +50,33 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+# The words of the check: the separators of the operator, as a pattern of DuckDB.
+_SEPARATORS = "[\\x20\\x09-\\x0D!-/:-@\\[-`{-~]+"
+
+OP10_SQL = f"""
+with texts as (
+  select 'd' as side, doc_id as id, text from documents union all select 'b', item_id, text from benchmark),
+words as (
+  select side, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{_SEPARATORS}'), lambda x: x <> '') as w from texts),
+shingles as (
+  select distinct side, id, unnest(case when len(w) between 1 and 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle from words where len(w) > 0),
+sizes as (select id, count(*) as n from shingles where side = 'b' group by id)
+select d.id as doc_id, b.id as item_id, any_value(s.n) as n_shingles, count(*) as n_shared, count(*) / any_value(s.n) as containment
+from shingles d join shingles b on b.shingle = d.shingle and b.side = 'b' join sizes s on s.id = b.id
+where d.side = 'd' group by d.id, b.id having count(*) >= 0.8 * any_value(s.n) - 1e-9
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
     "op5_packing": op5_packing,
     "op7_secret_scans": op7_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_benchmark_decontamination": OP10_SQL}

@@ -130,3 +130,16 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
     whole = F.aggregate(spans, start, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
+def redact(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret of the text replaced by ``mark``; all rows and columns stay.
+
+    Findings belong to contents, so neither ids nor repeated rows matter. Null texts stay null.
+    """
+    blob = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
+    found, ledger = find_secrets(docs.select(F.lit(0).alias("path"), F.col(text_col)), None, "path", text_col, rules)
+    hits = ledger.filter(F.size("spans") > 0).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("_llm_spans")).withColumnRenamed("blob", "_llm_blob")
+    joined = docs.join(hits, blob == F.col("_llm_blob"), "left")
+    spans = F.coalesce("_llm_spans", F.expr(f"cast(array() as {SPAN})"))
+    return joined.withColumn(text_col, redacted(F.col(text_col), spans, mark)).drop("_llm_blob", "_llm_spans")

@@ -123,3 +123,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(by_rep.select("a", "b"))
     named = groups.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(named, "fp").select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near-duplicates, that of the least id, with all columns of ``docs``.
+
+    Of rows with the same id one stays. Rows with a null id can't be named and all stay.
+    """
+    groups = near_duplicates(docs, id_col, text_col, max_bits)
+    kept = groups.select(F.col("component_id").alias("_llm_kept")).filter("_llm_kept is not null").distinct()
+    # Documents are the large side; the ids are hashed in memory, as many as documents at most.
+    named = docs.join(kept.hint("shuffle_hash"), docs[id_col] == F.col("_llm_kept"), "left_semi").dropDuplicates([id_col])
+    return named.unionByName(docs.filter(F.col(id_col).isNull()))
