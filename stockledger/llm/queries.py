@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, packing, quality, secrets, simhash
+from stockledger.llm import decontaminate, packing, quality, secrets, simhash, substrings
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -29,6 +29,27 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
+# Windows that span the text as a list of words, each counted by its joined words.
+OP3_SQL = """
+with words as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w from documents),
+windows as (
+  select doc_id, unnest(range(1, len(w) - 33)) as i, unnest(list_transform(range(1, len(w) - 33), lambda i: md5(array_to_string(w[i:i + 34], ' ')))) as h
+  from words where len(w) >= 35),
+again as (select h from windows group by h having count(*) > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 35)) as i from windows semi join again using (h)),
+places as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from words),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by i) as text from places anti join gone using (doc_id, i) group by doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -73,10 +94,11 @@ where d.side = 'd' group by d.id, b.id having count(*) >= 0.8 * any_value(s.n) -
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
     "op7_secret_scans": op7_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op10_benchmark_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_substring_dedup": OP3_SQL, "op10_benchmark_decontamination": OP10_SQL}
