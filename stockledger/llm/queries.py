@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, packing, quality, secrets, simhash, substrings
+from stockledger.llm import decontaminate, embeddings, packing, quality, secrets, simhash, substrings
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -54,6 +54,24 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+with recursive valid as (
+  select vec_id, label, cast(embedding as double[]) as v from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from valid a join valid b on a.label = b.label and a.vec_id <> b.vec_id
+  where len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.93),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join links l on l.a = r.b)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links,
+  (select min(b) from reach r where r.a = e.vec_id) as component_id, e.vec_id = (select min(b) from reach r where r.a = e.vec_id) as kept
+from embeddings e
+"""
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.find_secrets(documents(spark, sf_dir))
     spans = F.col("spans")
@@ -96,9 +114,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op3_substring_dedup": OP3_SQL, "op10_benchmark_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_substring_dedup": OP3_SQL, "op6_embedding_near_dedup": OP6_SQL, "op10_benchmark_decontamination": OP10_SQL}
