@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, embeddings, packing, quality, secrets, simhash, substrings
+from stockledger.llm import decontaminate, embeddings, packing, pages, quality, secrets, simhash, substrings
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -89,6 +89,11 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = documents(spark, sf_dir, "pages")
+    return pages.extract(raw, pages.learn_weights(raw))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -117,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
