@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, embeddings, packing, pages, quality, secrets, simhash, substrings
+from stockledger.llm import decontaminate, embeddings, packing, pages, quality, secrets, simhash, substrings, toxicity
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +23,12 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return table(spark, sf_dir, name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = toxicity.score(docs, toxicity.fit(docs, documents(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = quality.fit(docs, documents(spark, sf_dir, "labels"))
@@ -116,6 +122,7 @@ where d.side = 'd' group by d.id, b.id having count(*) >= 0.8 * any_value(s.n) -
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
