@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, embeddings, packing, pages, quality, secrets, simhash, substrings, toxicity
+from stockledger.llm import chat, decontaminate, embeddings, packing, pages, quality, secrets, simhash, substrings, toxicity
 from stockledger.llm.store import table
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -56,6 +56,11 @@ from words left join kept using (doc_id)
 """
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = chat.raw_transcripts(documents(spark, sf_dir, "conversations"))
+    return chat.parse(raw.drop("role"), chat.learn(chat.lines_of(raw, label_col="role")))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -125,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_packing": op5_packing,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_secret_scans": op7_secret_scans,
