@@ -96,18 +96,17 @@ class Weights:
     """Scores of tags and words. Seen inside and outside alike: 0.5 for a word, -0.5 for a tag."""
 
     def __init__(self, counts: dict[str, tuple[int, int]]) -> None:
-        total = [sum(x[k] for x in counts.values()) + 1 for k in (0, 1)]
         self.known = {}
         for key, (inside, outside) in counts.items():
-            odds = math.log((inside + 0.5) / total[0] / ((outside + 0.5) / total[1]))
-            odds = max(-6.0, min(6.0, odds))
+            odds = max(-6.0, min(6.0, math.log((inside + 0.5) / (outside + 0.5))))
             self.known[key] = max(0.05, 0.5 + 0.5 * odds) if key.startswith("word ") else min(-0.02, -0.5 + 0.5 * odds)
 
     def of(self, piece: Piece) -> float:
+        """Elements that are never content neither help nor part what is around them."""
         key, n, _, _, _, excluded = piece
-        if n:
-            return 0.0 if excluded else n * self.known.get(key, 0.5)
-        return 0.0 if key == "word br" or key.startswith("word ") else self.known.get(key, -0.5)
+        if excluded or key.startswith("word ") and not n:
+            return 0.0
+        return n * self.known.get(key, 0.5) if n else self.known.get(key, -0.5)
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -151,8 +150,9 @@ def learn_weights(labelled: DataFrame, html_col: str = "html", most: int = SAMPL
         inside, outside = Counter(), Counter()
         for batch in batches:
             for x in batch.column(0):
-                for key, n, _, _, content, _ in pieces(x.as_py()):
-                    (inside if content else outside)[key] += n or not key.startswith("word ")
+                for key, n, _, _, content, excluded in pieces(x.as_py()):
+                    if not excluded:
+                        (inside if content else outside)[key] += n or not key.startswith("word ")
         keys = list(inside | outside)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([inside[x] for x in keys], pa.int64()), pa.array([outside[x] for x in keys], pa.int64())], ["key", "inside", "outside"])
 

@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), a temporary one is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), the context's or a temporary one."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="llm-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
