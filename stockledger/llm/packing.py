@@ -8,6 +8,7 @@ window boundaries. Only the partition totals (one row each) ever meet.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -27,10 +28,23 @@ TOKENIZER = "byte_bpe_50k.json"
 # white space next to each other are split only at spaces between two other characters.
 _IRREGULAR = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
 _SAFE_SPLIT = re.compile(r"(?<=\S)(?= \S)")
-_KEPT_WORDS = 600_000
+_KEPT_WORDS = 1_000_000
 
 
-class WordTokenizer:
+class _ByteLetters(dict):
+    """Characters as the vocabulary writes their bytes."""
+
+    def __init__(self) -> None:
+        from tokenizers import pre_tokenizers
+
+        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, code: int) -> str:
+        self[code] = self.level.pre_tokenize_str(chr(code))[0][0]
+        return self[code]
+
+
+class WordTokenizer(dict):
     """Ids of whole texts, by the tokenizer's own ids of each distinct word.
 
     The vocabulary splits a text before each single space before it merges bytes, so the ids of a text
@@ -43,48 +57,34 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge, self.letters = self.tokenizer.model.tokenize, _ByteLetters()
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        codes = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {word: np.array(code.ids, "<u4").tobytes() for word, code in zip(words, codes, strict=True)}
-
-    def _missing(self, pieces: list[str]) -> dict[str, bytes]:
-        known = self.known
-        missing = {x for x in pieces if x not in known}
-        stems = {x: x[:-1] for x in missing if x[-1:] in (",", ".") and x[-2:-1].isalpha()}
-        fresh = {x for x in missing if x not in stems} | {x for x in stems.values() if x not in known} | ({",", "."} if stems else set())
-        codes = self._encode(sorted(fresh))
-        for word, stem in stems.items():
-            codes[word] = (codes.get(stem) or known[stem]) + codes[word[-1]]
-        if len(known) + len(codes) <= _KEPT_WORDS:
-            known.update(codes)
-        return codes
-
-    def _pieces(self, text: str) -> list[str]:
-        if any(x in text for x in self.special):
-            return [text]
-        if _IRREGULAR.search(text):
-            return _SAFE_SPLIT.split(text)
-        pieces: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            if n:
-                pieces.append("\n")
-            pieces.append(first)
-            pieces += [" " + x for x in rest]
-        return pieces
+
+    def __missing__(self, piece: str) -> bytes:
+        last = piece[-1:]
+        if (last == "," or last == ".") and piece[-2:-1].isalpha():
+            code = self[piece[:-1]] + self[last]
+        elif piece.isalpha() or piece[:1] == " " and piece[1:].isalpha():  # one run of letters: nothing to split
+            ids = [x.id for x in self.merge(piece.translate(self.letters))]
+            code = struct.pack(f"<{len(ids)}I", *ids)
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            code = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) < _KEPT_WORDS:
+            self[piece] = code
+        return code
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        pieces, known = self._pieces(text), self.known
-        try:
-            return b"".join([known[x] for x in pieces])
-        except KeyError:
-            codes = self._missing(pieces)
-        return b"".join([codes[x] if x in codes else known[x] for x in pieces])
+        if any(x in text for x in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        if "\0" in text or _IRREGULAR.search(text):
+            pieces = _SAFE_SPLIT.split(text)
+        else:  # each space or line end stands alone between two words; a space belongs to the word after it
+            pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        return b"".join(map(self.__getitem__, pieces))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
