@@ -173,7 +173,7 @@ def running_total(spark, sf_dir):
         ["voucher_date", "voucher_id"],
         "difference",
         "running_difference",
-        cells=scan.day_id_cells(F.to_date("voucher_date"), "voucher_id"),
+        cells=scan.order_cells(["voucher_date", "voucher_id"]),
     )
 
 

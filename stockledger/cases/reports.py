@@ -740,16 +740,16 @@ numbered as (select *, row_number() over ({_DOCUMENT_ORDER}) as rn from rated),
 islands as (
   select *, last_value(DeliveryNoteNumber ignore nulls) over (order by rn rows unbounded preceding) as PreviousDeliveryNoteNumber,
     first_value(DeliveryNoteNumber ignore nulls) over (order by rn rows between current row and unbounded following) as NextDeliveryNoteNumber,
-    count(DeliveryNoteNumber) over (order by rn rows unbounded preceding) as GroupId from numbered),
+    count(DeliveryNoteNumber) over (order by LoggingTimeStamp) as GroupId from numbered),
 stepped as (
-  select *, case when DeliveryNoteNumber is null then count(*) filter (DeliveryNoteNumber is null) over (partition by GroupId order by rn) end as AscSumCount,
-    case when DeliveryNoteNumber is null then count(*) filter (DeliveryNoteNumber is null) over (partition by GroupId order by rn desc) end as DescSumCount
+  select *, case when DeliveryNoteNumber is null then count(*) filter (DeliveryNoteNumber is null) over (partition by GroupId order by LoggingTimeStamp) end as AscSumCount,
+    case when DeliveryNoteNumber is null then count(*) filter (DeliveryNoteNumber is null) over (partition by GroupId order by LoggingTimeStamp desc) end as DescSumCount
   from islands),
 predicted as (
   select *, case when DeliveryNoteNumber is not null then cast(DeliveryNoteNumber as bigint)
     when PreviousDeliveryNoteNumber is not null then cast(PreviousDeliveryNoteNumber as bigint) + AscSumCount
     else cast(NextDeliveryNoteNumber as bigint) - DescSumCount end as PredictDeliveryNoteNumber from stepped)
-select *, cast(PredictDeliveryNoteNumber as varchar) as StringPredictDeliveryNoteNumber from predicted""",
+select *, coalesce(DeliveryNoteNumber, cast(PredictDeliveryNoteNumber as varchar)) as StringPredictDeliveryNoteNumber from predicted""",
 )
 def gap_fill_number(spark, sf_dir):
     return documents.gap_fill_number(demo_catalog(spark, sf_dir), "2024-01-03", "2024-01-28")

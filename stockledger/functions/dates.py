@@ -53,7 +53,7 @@ def as_timestamp(value) -> Column:
 
 
 def as_date(value) -> Column:
-    return value if isinstance(value, Column) else F.lit(str(value)[:10]).cast("date")
+    return value.cast("date") if isinstance(value, Column) else as_timestamp(value).cast("date")
 
 
 def title_month(when: Column) -> Column:

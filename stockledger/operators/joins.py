@@ -63,14 +63,27 @@ def typed_lookup(
     """One text key that points into a different table depending on a type code.
 
     Each target is (table, its key column, type codes); the table's other columns are added. The
-    key counts as NULL for other types, so no match is tried for them.
+    key counts as NULL for other types, so no match is tried for them, and these rows are spread over
+    the tasks of the join by a hash of all their columns.
     """
     for table, table_key, codes in targets:
-        hit = F.when(F.col(type_code).isin(codes), F.col(key))
-        df = df.join(table, hit == F.col(table_key), "left").drop(table_key)
+        df = spread_left_join(df, table, F.when(F.col(type_code).isin(codes), F.col(key)), table_key).drop(table_key)
     return df
 
 
+def spread_left_join(df: DataFrame, table: DataFrame, hit: Column, table_key: str, parts: int = 4096) -> DataFrame:
+    """Left join on ``hit == table_key`` in which rows without a key don't meet in one task.
+
+    A second key is 0 where there is a key on either side, and one of ``parts`` values otherwise.
+    """
+    df = df.withColumn("__hit", hit)
+    spread = F.when(F.col("__hit").isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(parts)) + 1).otherwise(F.lit(0))
+    # Not a literal, which would leave the second key out of the shuffle.
+    keyed = table.withColumn("__zero", F.when(F.col(table_key).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    joined = df.withColumn("__spread", spread.cast("long"))
+    return joined.join(keyed, (F.col("__hit") == F.col(table_key)) & (F.col("__spread") == F.col("__zero")), "left").drop("__hit", "__spread", "__zero")
+
+
 def lookup_in(df: DataFrame, table: DataFrame, keys: list[str], table_key: str) -> DataFrame:
     """Left join on ``table_key IN (keys)``, for a table whose key is unique.
 
@@ -84,7 +97,7 @@ def lookup_in(df: DataFrame, table: DataFrame, keys: list[str], table_key: str)
         for earlier in keys[:i]:
             hit = F.when(~F.col(key).eqNullSafe(F.col(earlier)), hit)
         side = table.select(F.col(table_key).alias("__key"), F.struct(*columns).alias(f"__found_{i}"))
-        df = df.join(side, hit == F.col("__key"), "left").drop("__key")
+        df = spread_left_join(df, side, hit, "__key").drop("__key")
         found.append(f"__found_{i}")
     hits = F.filter(F.array(*found), lambda x: x.isNotNull())
     df = df.withColumn("__hit", F.explode_outer(hits)).drop(*found)
@@ -100,11 +113,17 @@ def attribute_lookup(
     value: str,
     wanted: dict[str, int],
 ) -> DataFrame:
-    """Custom fields stored one per row, added as columns: one aggregate and one join for all."""
+    """Custom fields stored one per row, added as columns: one aggregate and one join for all.
+
+    A field with several values gives a row for each, as a join per field would. The lists are as
+    long as the fields of one holder.
+    """
     picked = attributes.filter(F.col(template).isin(list(wanted.values())) & F.col(value).isNotNull())
     wide = picked.groupBy(F.col(parent).alias("__parent")).agg(
-        *[F.max(F.when(F.col(template) == t, F.col(value))).alias(n) for n, t in wanted.items()]
+        *[F.collect_list(F.when(F.col(template) == t, F.col(value))).alias(n) for n, t in wanted.items()]
     )
+    for n in wanted:
+        wide = wide.select(*[F.explode_outer(n).alias(n) if c == n else F.col(c) for c in wide.columns])
     return df.join(wide, F.col(key) == F.col("__parent"), "left").drop("__parent")
 
 

@@ -69,8 +69,8 @@ def scan(
 
     ``order`` must not contain NULLs and should be total; rows it leaves tied are taken in any
     order, or together when ``peers`` is set. ``reverse`` runs from the last row to the first.
-    ``cells`` names expressions that never decrease along ``order``, coarse to fine; a group is
-    then split over as many tasks as it has cells. Without cells this is a plain window.
+    ``cells`` names expressions that never decrease along ``order``, coarse to fine (build them with
+    ``time_cells`` or ``order_cells``); a group is then split over as many tasks as it has cells. Without cells this is a plain window.
 
     The cell totals read the input a second time. If ``df`` is expensive because of columns the
     totals do not need, give as ``basis`` the same rows without them.
@@ -124,9 +124,19 @@ def time_cells(time: str, *grains: str, prefix: str = "__cell") -> dict[str, Col
     return {f"{prefix}_{g}": F.date_trunc(g, F.col(time)) for g in grains}
 
 
-def day_id_cells(day: Column, row_id: str, width: int = 1 << 20) -> dict[str, Column]:
-    """Cells for rows ordered by a day and then a long id: the day, then slices of the id."""
-    return {"__cell_day": day, "__cell_slice": F.floor(F.col(row_id) / F.lit(width))}
+def order_cells(order: list[str], *grains: str) -> dict[str, Column]:
+    """Cells for rows ordered by a time and then a long id, derived from the order itself.
+
+    First the calendar grains of the time, then the exact time with the upper third of the id's bits,
+    then the middle third. Ids are cut only below the exact time, so no cell decreases along the
+    order. However sparse or dense the ids are, a cell and the cells within another are at most
+    2**21 for one point in time.
+    """
+    time, row_id = order
+    cells = time_cells(time, *grains)
+    cells["__cell_time"] = F.struct(F.col(time).alias("time"), F.shiftright(F.col(row_id).cast("long"), 42).alias("high"))
+    cells["__cell_slice"] = F.shiftright(F.col(row_id).cast("long"), 21)
+    return cells
 
 
 def running_total(df, keys, order, value: str, out: str, cells=None, reverse=False, basis=None) -> DataFrame:
@@ -150,10 +160,13 @@ def fill_gaps(
     order: list[str],
     number: str,
     cells: dict[str, Column] | None = None,
+    peers: list[str] | None = None,
 ) -> DataFrame:
     """Surroundings of every missing ``number`` in document order.
 
-    A row with a number opens an island; the rows without one that follow belong to it (island 0
+    With ``peers``, the leading columns of ``order``, rows that agree in them share their island and
+    their steps, as in a window whose frame is a range; ``cells`` must not need the other columns.
+    The numbers around a row still follow the whole order. A row with a number opens an island; the rows without one that follow belong to it (island 0
     is what comes before the first number). Adds ``island``, ``previous_number``, ``next_number``
     and, for rows without a number, ``steps_after`` and ``steps_before``: the position in the
     island counted from its front and from its back.
@@ -201,7 +214,7 @@ def fill_gaps(
         )
     )
     step = F.col("__missing") - F.col("__before")
-    return (
+    found = (
         _join_safe(ranked, context, keys + ["island"], "left")
         .withColumns(
             {
@@ -213,6 +226,21 @@ def fill_gaps(
         )
         .drop("__missing", "__before", "__size", "__anchor", "__next")
     )
+    return found if peers is None else _peer_steps(found, keys, peers, missing, cells)
+
+
+def _peer_steps(found: DataFrame, keys: list[str], peers: list[str], missing: Column, cells) -> DataFrame:
+    """``fill_gaps`` with islands and steps counted by points of the peer columns, one row each."""
+    points = found.groupBy(*keys, *peers).agg(F.count_if(~missing).alias("__named"), F.count_if(missing).alias("__gaps"))
+    run = scan(points, keys, peers, {"__group": running_sum(F.col("__named")), "__run": running_sum(F.col("__gaps"))}, cells)
+    islands = run.groupBy(*keys, "__group").agg((F.max("__run") - F.sum("__gaps")).alias("__before"), F.sum("__gaps").alias("__size"))
+    steps = _join_safe(run, islands, [*keys, "__group"], "left").withColumn("__after", F.col("__run") - F.col("__before"))
+    steps = steps.withColumn("__back", F.col("__size") - F.col("__after") + F.col("__gaps"))
+    return (
+        _join_safe(found, steps.select(*keys, *peers, "__group", "__after", "__back"), [*keys, *peers], "left")
+        .withColumns({"island": F.col("__group"), "steps_after": F.when(missing, F.col("__after")), "steps_before": F.when(missing, F.col("__back"))})
+        .drop("__group", "__after", "__back")
+    )
 
 
 def _join_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:

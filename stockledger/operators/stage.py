@@ -2,25 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and kept in the cluster's shared checkpoint folder.
+def staged(df: DataFrame, folder: str | None) -> DataFrame:
+    """``df``, written to Parquet below ``folder`` and read from there; without a folder ``df`` itself.
 
-    Spark would otherwise run the whole plan behind ``df`` once per branch. A checkpoint survives
-    the loss of executors. The folder is the session's ``spark.checkpoint.dir``; only a local
-    session without one gets a temporary folder. This runs a job when it is called, so use it for
-    what is already joined, filtered or summed up.
+    The folder is the caller's (``Catalog(workdir=...)``), shared by all executors, and so is the
+    choice between one more write and one more run of the plan. With a folder this runs a job.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="stockledger-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    if folder is None:
+        return df
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.operators.joins import salted_join
-from stockledger.operators.scan import running_last, running_max, running_sum, scan
+from stockledger.operators.scan import running_last, running_max, running_sum, scan, time_cells
 
 _T, _SIDE, _VALUE = "__t", "__side", "__value"
 
@@ -187,23 +187,28 @@ def sum_since_mark(
     which an as-of lookup guarantees. A fact then counts on one run of days: from the day it takes
     effect to the day before the first later mark. So it adds its amount at the front of the run
     and takes it off behind the end, and a running sum over the days gives the result. That is at
-    most two small rows per fact instead of one per fact and day.
+    most two small rows per fact instead of one per fact and day. The first later mark of a fact is a
+    lookup on one axis of recording times. Facts without a time of recording or effect count nowhere.
     """
+    facts = facts.filter(_not_null([recorded, effective]))
     marked = points.filter(F.col(since).isNotNull())
     # As many entries per key as it has marks, which is at most its number of days.
     marks = marked.groupBy(*on, since).agg(F.min(day).alias("first_day"))
-    runs = marks.groupBy(*on).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(since).alias("since"), "first_day"))).alias("__marks"),
-        F.min("first_day").alias("__first"),
-    )
+    runs = marks.groupBy(*on).agg(F.min("first_day").alias("__first"))
     effect = F.to_date(F.col(effective))
-    located = salted_join(
-        facts.select(*on, fact_id, recorded, effect.alias("__effect"), F.col(amount).alias("__amount")), runs, on, fact_id
+    # Facts of one time of recording and one day of effect are alike: one row for all of them.
+    alike = facts.groupBy(*on, F.col(recorded).alias(_T), effect.alias("__effect")).agg(F.sum(amount).alias("__amount"))
+    axis = alike.withColumn(_SIDE, F.lit(1)).unionByName(
+        marks.select(*on, F.col(since).alias(_T), "first_day").withColumn(_SIDE, F.lit(0)), allowMissingColumns=True
+    )
+    located = scan(
+        axis, on, [_T, _SIDE], {"__until": running_last(F.col("first_day"))}, time_cells(_T, "day"), reverse=True
+    ).filter(F.col(_SIDE) == 1)
+    located = (
+        salted_join(located.select(*on, _T, "__effect", "__amount", "__until"), runs, on, _T)
+        .withColumn("__from", F.greatest("__effect", "__first"))
+        .filter(F.col("__until").isNull() | (F.col("__from") < F.col("__until")))
     )
-    later = F.filter("__marks", lambda m: m["since"] > F.col(recorded))
-    located = located.withColumns(
-        {"__from": F.greatest("__effect", "__first"), "__until": F.get(later, F.lit(0))["first_day"]}
-    ).filter(F.col("__until").isNull() | (F.col("__from") < F.col("__until")))
     steps = (
         located.select(
             *on,

@@ -27,13 +27,16 @@ def document_status(catalog: Catalog, start, end) -> DataFrame:
         (F.col("BusinessTransactionContextType") == DELIVERY_CODE)
         & F.col("LoggingTimeStamp").between(as_timestamp(start), as_timestamp(end))
     ).select("LoggingTimeStamp", "UserName", "DeliveryDate", "QuantityChangeId", "UndoMovementId", "OrderNumber")
-    undone = movement.select(
+    # Only what the period's deliveries name is read on: their undo movements and their document rows.
+    undo_ids = deliveries.filter(F.col("UndoMovementId").isNotNull()).select(F.col("UndoMovementId").alias("Id")).distinct()
+    changes = deliveries.filter(F.col("QuantityChangeId").isNotNull()).select("QuantityChangeId").distinct()
+    undone = movement.join(undo_ids, "Id", "left_semi").select(
         F.col("Id").alias("UndoMovementId"),
         F.col("LoggingTimeStamp").alias("undo_logged"),
         F.col("UserName").alias("UndoUserName"),
     )
     notes = catalog.table("CustomerOrderInvoice").select(F.col("Id").alias("note_id"), "DeliveryNoteNumber")
-    links = catalog.table("CustomerOrderDeliveryRow").filter(F.col("QuantityChangeId").isNotNull())
+    links = catalog.table("CustomerOrderDeliveryRow").join(changes, "QuantityChangeId", "left_semi")
     numbered = first_match_join(
         deliveries, links, "QuantityChangeId", "InvoiceId", [F.col("InvoiceId").asc_nulls_last()], notes, "note_id"
     ).join(undone, "UndoMovementId", "left")
@@ -82,25 +85,29 @@ def gap_fill_number(catalog: Catalog, start, end) -> DataFrame:
     before it plus its distance or, before the first number, the next one less its distance.
 
     The order is one sequence over all users. It is cut by day and minute, so only the totals per
-    day ever meet in one task. Rows of the same time count in the order of their other columns.
+    day ever meet in one task. Rows of the same time
+    share their group and their distance; the numbers around them follow the order of their other
+    columns. A number that is there is passed on as text as it is, digits or not; one counted up from
+    a number that is not digits is NULL.
     """
-    documents = staged(document_status(catalog, start, end))
+    documents = staged(document_status(catalog, start, end), catalog.workdir)
     order = [
         "LoggingTimeStamp", "UserName", "UndoLoggingTime", "UndoUserName", "DeliveryNoteNumber",
         "ReplacedDeliveryNoteNumber", "DeliveryDate",
     ]
     filled = fill_gaps(
-        documents, [], order, "DeliveryNoteNumber", cells=time_cells("LoggingTimeStamp", "day", "minute")
+        documents, [], order, "DeliveryNoteNumber",
+        cells=time_cells("LoggingTimeStamp", "day", "minute"), peers=["LoggingTimeStamp"],
     )
 
     def number(column):
-        return F.col(column).try_cast("decimal(20,0)")
+        return F.col(column).try_cast("decimal(37,0)")
 
     predicted = (
         F.when(F.col("DeliveryNoteNumber").isNotNull(), number("DeliveryNoteNumber"))
         .when(F.col("previous_number").isNotNull(), number("previous_number") + F.col("steps_after"))
         .otherwise(number("next_number") - F.col("steps_before"))
-        .cast("decimal(20,0)")
+        .cast("decimal(38,0)")
     )
     return filled.withColumn("PredictDeliveryNoteNumber", predicted).select(
         "LoggingTime",
@@ -119,5 +126,5 @@ def gap_fill_number(catalog: Catalog, start, end) -> DataFrame:
         F.col("steps_after").alias("AscSumCount"),
         F.col("steps_before").alias("DescSumCount"),
         "PredictDeliveryNoteNumber",
-        F.col("PredictDeliveryNoteNumber").cast("string").alias("StringPredictDeliveryNoteNumber"),
+        F.coalesce("DeliveryNoteNumber", F.col("PredictDeliveryNoteNumber").cast("string")).alias("StringPredictDeliveryNoteNumber"),
     )

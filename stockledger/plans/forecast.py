@@ -206,13 +206,13 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
             "DSC_DeliveryDate", "DSC_Quantity",
         )
     )
-    current = latest_version(schedules, ["DS_CustomerId", "DSP_PartId"], "DS_CustomerDeliveryScheduleDate")
-    # The customer's order, part, unit and day decide all lookups, so calls are summed before them.
-    summed = staged(
-        current.groupBy("DS_CustomerId", "DSP_PartId", "DSP_CustomerOrderNumber", "DSP_UnitId", "DSC_DeliveryDate").agg(
-            F.sum("DSC_Quantity").alias("quantity")
-        )
+    # The customer's order, part, unit and day decide all lookups, so calls are summed before them, and
+    # the newest version is picked among the few sums.
+    version = "DS_CustomerDeliveryScheduleDate"
+    sums = schedules.groupBy("DS_CustomerId", "DSP_PartId", version, "DSP_CustomerOrderNumber", "DSP_UnitId", "DSC_DeliveryDate").agg(
+        F.sum("DSC_Quantity").alias("quantity")
     )
+    summed = staged(latest_version(sums, ["DS_CustomerId", "DSP_PartId"], version).drop(version), catalog.workdir)
     currencies = catalog.aliased("Currency", "NC")
     prices = (
         catalog.aliased("PriceChangeLog", "PCL")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockledger.functions.dates import in_year
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import contra_accounts
-from stockledger.operators.scan import day_id_cells, running_total
+from stockledger.operators.scan import order_cells, running_total
 from stockledger.operators.stage import staged
 from stockledger.sources.catalog import Catalog
 
@@ -43,7 +43,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
     """One row per voucher and account of a year, with contra accounts, opening, running
     difference and closing balance.
 
-    Vouchers of one day count in the order of their ids.
+    Vouchers count in the order of their dates and, within one point in time, of their ids.
     """
     years = _years(catalog, year)
     vouchers = (
@@ -53,10 +53,11 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         .join(catalog.aliased("VoucherSeries", "VS"), F.col("V_SeriesId") == F.col("VS_Id"))
     )
 
-    # One row per voucher and balance before anything is joined: a voucher of any size is then no
-    # larger than the chart of accounts.
+    # The year's rows only, and of them one row per voucher and balance before anything else is
+    # joined: a voucher of any size is then no larger than the chart of accounts.
     per_balance = (
         catalog.aliased("VoucherRow", "VR")
+        .join(vouchers.select("V_Id"), F.col("VR_VoucherId") == F.col("V_Id"), "left_semi")
         .groupBy("VR_VoucherId", "VR_BalanceId")
         .agg(
             F.sum("VR_DebitInCompanyCurrency").alias("debit_amount"),
@@ -65,17 +66,17 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
             F.max("VR_Credit").alias("credit"),
         )
     )
-    # Read twice below; staging it saves a second pass over all voucher rows.
+    # Read more than once below.
     per_account = staged(
-        per_balance.join(vouchers.select("V_Id"), F.col("VR_VoucherId") == F.col("V_Id"), "left_semi")
-        .join(catalog.aliased("Balance", "B", "Id", "AccountId"), F.col("VR_BalanceId") == F.col("B_Id"))
+        per_balance.join(catalog.aliased("Balance", "B", "Id", "AccountId"), F.col("VR_BalanceId") == F.col("B_Id"))
         .groupBy("VR_VoucherId", "B_AccountId")
         .agg(
             F.sum("debit_amount").alias("DebitInCompanyCurrency"),
             F.sum("credit_amount").alias("CreditInCompanyCurrency"),
             F.max("debit").alias("debit"),
             F.max("credit").alias("credit"),
-        )
+        ),
+        catalog.workdir,
     )
     accounts = catalog.aliased("Account", "A")
     booked = contra_accounts(
@@ -115,7 +116,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         ["V_VoucherDate", "V_Id"],
         "DifferenceInCompanyCurrency",
         "CumulativeTotalDifference",
-        cells=day_id_cells(F.to_date("V_VoucherDate"), "V_Id"),
+        cells=order_cells(["V_VoucherDate", "V_Id"], "day"),
         basis=amounts,
     )
     opening = opening_balance(catalog, year).withColumnRenamed("AccountId", "opening_account")

@@ -10,7 +10,7 @@ from stockledger.functions.labels import MANUFACTURING_STATUS, code_label
 from stockledger.functions.numbers import differs, not_below_zero
 from stockledger.functions.text import json_field, looks_like_json
 from stockledger.operators.joins import not_in_scope, siblings
-from stockledger.operators.scan import day_id_cells, running_total
+from stockledger.operators.scan import order_cells, running_total
 from stockledger.operators.stage import staged
 from stockledger.operators.temporal import first_match
 from stockledger.sources.catalog import Catalog
@@ -36,14 +36,17 @@ def reported_below_estimate(
     between ``start`` and ``as_of`` (now by default), with the shortfall added up per material and
     the balance it would leave.
 
-    What was reported on crushed material of the same order node counts as reported too.
+    What was reported on crushed material of the same order node counts as reported too: the crushed
+    row's own quantity, where the report this follows repeats that of the raw material's row.
     """
     until = F.current_timestamp() if as_of is None else as_timestamp(as_of)
+    # A last report in the period is one from its start on; the end bounds the maximum only.
     last_report = (
         catalog.table("ManufacturingOrderReporting")
+        .filter(F.col("ReportedWhen") >= as_timestamp(start))
         .groupBy(F.col("OrderId").alias("reported_order"))
         .agg(F.max("ReportedWhen").alias("LastReportingDate"))
-        .filter(F.col("LastReportingDate").between(as_timestamp(start), until))
+        .filter(F.col("LastReportingDate") <= until)
     )
     orders = (
         catalog.aliased("ManufacturingOrder", "MO")
@@ -95,7 +98,8 @@ def reported_below_estimate(
         joined.withColumn("MaterialReportedQuantity", reported)
         .withColumn("EstimatedReportedQuantity", (made * F.col("MOM_QuantityPerUnit")).cast("decimal(28,8)"))
         .withColumn("DifferenceReportedQuantity", F.col("MaterialReportedQuantity") - F.col("EstimatedReportedQuantity"))
-        .filter("MaterialReportedQuantity < EstimatedReportedQuantity")
+        .filter("MaterialReportedQuantity < EstimatedReportedQuantity"),
+        catalog.workdir,
     )
     total = "CumulativeTotalDifferenceReportedQuantityPerMaterialPart"
     summed = running_total(
@@ -104,7 +108,7 @@ def reported_below_estimate(
         ["LastReportingDate", "MOM_Id"],
         "DifferenceReportedQuantity",
         total,
-        cells=day_id_cells(F.to_date("LastReportingDate"), "MOM_Id"),
+        cells=order_cells(["LastReportingDate", "MOM_Id"], "day", "minute"),
     )
     return summed.select(
         "LastReportingDate",

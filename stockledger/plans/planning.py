@@ -153,16 +153,19 @@ def _supply(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
 
 
 def order_plan(
-    catalog: Catalog, start, end, part_numbers: list[str] | None = None, warehouse: int = 1
+    catalog: Catalog, start, end, part_numbers: list[str] | DataFrame | None = None, warehouse: int = 1
 ) -> DataFrame:
-    """Per day, part (of the list, or every part) and role of the part: quantities ordered, suggested, made, bought, arrived and
+    """Per day, part (of the list or of a table's first column, or every part) and role of the part: quantities ordered, suggested, made, bought, arrived and
     delivered, the last balance of the day, and the balance counted up from the last stock count.
 
     The parts are picked first and every measure is summed per part and day before it meets the
     calendar, so the days multiply only the few rows of the result.
     """
+    start, end = as_date(start), as_date(end)
     parts = catalog.table("Part")
-    if part_numbers is not None:
+    if isinstance(part_numbers, DataFrame):
+        parts = parts.join(part_numbers.select(F.col(part_numbers.columns[0]).alias("PartNumber")), "PartNumber", "left_semi")
+    elif part_numbers is not None:
         parts = parts.filter(F.col("PartNumber").isin(list(part_numbers)))
     roles = part_roles(catalog, parts)
     plan = with_days(
@@ -180,8 +183,10 @@ def order_plan(
         parts.select(F.col("Id").alias("PartId")), "PartId", "left_semi"
     )
     after = F.date_add(as_date(end), 1).cast("timestamp")
+    # Of all days before the first, only the last row matters: they count as one day.
+    before = F.date_sub(as_date(start), 1)
     balances = movement.filter(F.col("LoggingTimeStamp") < after).select(
-        "PartId", "LoggingTimeStamp", "Id", F.to_date("LoggingTimeStamp").alias("logged_day"),
+        "PartId", "LoggingTimeStamp", "Id", F.greatest(F.to_date("LoggingTimeStamp"), before).alias("logged_day"),
         F.col("BalanceOnPartAfterChange").alias("last_balance"),
     )
     with_balance = asof_join(
@@ -189,7 +194,7 @@ def order_plan(
     )
     movement = movement.filter(F.col("DeliveryDate") < after)
     counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE).select(
-        "PartId", "LoggingTimeStamp", "Id", F.to_date("DeliveryDate").alias("count_day"),
+        "PartId", "LoggingTimeStamp", "Id", F.greatest(F.to_date("DeliveryDate"), before).alias("count_day"),
         F.col("LoggingTimeStamp").alias("counted_at"), F.col("BalanceOnPartAfterChange").alias("counted_balance"),
     )
     with_count = asof_max_by(
@@ -197,7 +202,7 @@ def order_plan(
         ["counted_at", "counted_balance"], dedupe=False,
     )
     # A few rows per part and day, read by every step that follows.
-    with_count = staged(with_count)
+    with_count = staged(with_count, catalog.workdir)
     changes = movement.filter(
         (F.col("BusinessTransactionContextType") != COUNT_CODE) & (F.col("WarehouseId") == warehouse)
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockledger.sources.schema import TABLES, table_schema
 
@@ -16,11 +17,16 @@ class Catalog:
     ``loader(name)`` returns the raw DataFrame of a table. Only declared columns are kept, so a
     report never reads more of a wide table than the schema lists, and Spark prunes the rest of
     what the report leaves unused. A column the source does not have is an error unless
-    ``fill_missing`` is set, in which case it reads as NULL.
+    ``fill_missing`` is set, in which case it reads as NULL. Decimals of more digits than declared are
+    an error too, when a value has such digits: nothing is rounded. ``workdir`` is a folder that all
+    executors share; reports that read a result several times then write it there once.
     """
 
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame], fill_missing: bool = False):
+    def __init__(
+        self, spark: SparkSession, loader: Callable[[str], DataFrame], fill_missing: bool = False, workdir: str | None = None
+    ):
         self.spark = spark
+        self.workdir = workdir
         self._loader = loader
         self._fill_missing = fill_missing
         self._tables: dict[str, DataFrame] = {}
@@ -28,7 +34,7 @@ class Catalog:
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **options) -> Catalog:
         """One Parquet file or folder per table: ``root/<Table>``."""
-        return cls(spark, lambda name: spark.read.schema(table_schema(name)).parquet(f"{root}/{name}"), **options)
+        return cls(spark, lambda name: spark.read.parquet(f"{root}/{name}"), **options)
 
     @classmethod
     def from_database(cls, spark: SparkSession, database: str, **options) -> Catalog:
@@ -55,7 +61,7 @@ class Catalog:
                 elif have[field.name.lower()] == wanted.simpleString():
                     columns.append(F.col(field.name).alias(field.name))
                 else:
-                    columns.append(F.col(field.name).cast(wanted).alias(field.name))
+                    columns.append(_exact(F.col(field.name), have[field.name.lower()], wanted).alias(field.name))
             self._tables[name] = raw.select(*columns)
         return self._tables[name]
 
@@ -64,3 +70,15 @@ class Catalog:
         df = self.table(name)
         chosen = columns or df.columns
         return df.select(*[F.col(c).alias(f"{alias}_{c}") for c in chosen])
+
+
+def _exact(column: Column, have: str, wanted: T.DataType) -> Column:
+    """A cast to the declared type that fails where it would drop digits of a decimal."""
+    narrowed = column.cast(wanted)
+    if not have.startswith("decimal") or not isinstance(wanted, T.DecimalType):
+        return narrowed
+    precision, scale = map(int, have[len("decimal(") : -1].split(","))
+    if scale <= wanted.scale and precision - scale <= wanted.precision - wanted.scale:
+        return narrowed
+    fits = F.coalesce(column == column.try_cast(wanted), F.lit(False)) | column.isNull()
+    return F.when(fits, column.try_cast(wanted)).otherwise(F.raise_error(F.concat(F.lit(f"not a {wanted.simpleString()}: "), column.cast("string"))).cast(wanted))

@@ -4,7 +4,7 @@ Types follow one rule, so a table is only a list of column names:
 
 * ``Id``, ``...Id`` and the two reference links are long keys;
 * names that end in a point in time are timestamps;
-* quantities, balances, prices and rates are ``decimal(18,4)``;
+* quantities, balances and prices are ``decimal(18,4)``, rates and factors ``decimal(24,12)``;
 * states, codes and flags are integers;
 * everything else is text.
 """
@@ -16,12 +16,14 @@ import re
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 4)
+RATE = T.DecimalType(24, 12)
 
 _TIME = re.compile(r"(Date|TimeStamp|Timestamp|When)$")
 _MONEY = re.compile(
-    r"(Quantity|QuantityPerUnit|Balance|BalanceChange|AfterChange|Price|Factor|Rate|Debit|Credit"
+    r"(Quantity|QuantityPerUnit|Balance|BalanceChange|AfterChange|Price|Debit|Credit"
     r"|InCompanyCurrency)$"
 )
+_RATE = re.compile(r"(Factor|Rate)$")
 _INTEGER = re.compile(
     r"(Status|LifeCycleState|Type|ContextType|Position|CommitmentLevel|OperationNumber|OperationNo"
     r"|SequenceNumber|IsReplaced|IsPreliminary|AffectStockBalance|CreationContext|ErrorTypes"
@@ -131,6 +133,8 @@ def column_type(name: str) -> T.DataType:
         return T.IntegerType()
     if _MONEY.search(name):
         return MONEY
+    if _RATE.search(name):
+        return RATE
     return T.StringType()
 
 

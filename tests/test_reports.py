@@ -297,7 +297,7 @@ def test_catalog_reads_parquet_with_pushdown(spark, tmp_path, demo):
         ("ExtraField", "TemplateId", "bigint"),
         ("EntityChangeLog", "EntityTypeId", "string"),
         ("CustomerOrder", "OrderNumber", "string"),
-        ("CustomerOrder", "ExchangeRate", "decimal(18,4)"),
+        ("CustomerOrder", "ExchangeRate", "decimal(24,12)"),
         ("VoucherRow", "DebitInCompanyCurrency", "decimal(18,4)"),
         ("EdiFileTransaction", "FileCreatedWhen", "timestamp"),
         ("PriceChangeLog", "Timestamp", "timestamp"),

@@ -29,7 +29,8 @@ CELLS = {
     "none": None,
     "day": lambda: scan.time_cells("at", "day"),
     "day and minute": lambda: scan.time_cells("at", "day", "minute"),
-    "day and id": lambda: scan.day_id_cells(F.to_date("at"), "id", width=64),
+    "time and id": lambda: scan.order_cells(["at", "far"]),
+    "day, time and id": lambda: scan.order_cells(["at", "far"], "day"),
 }
 
 
@@ -42,8 +43,9 @@ def _cells(name, order):
 @pytest.mark.parametrize("reverse", [False, True])
 @pytest.mark.parametrize("keys", [["key"], []])
 def test_scan_equals_window(ledger, cells, reverse, keys):
-    order = ["at", "id"] if cells != "day and id" else ["day", "id"]
-    df = ledger.withColumn("day", F.to_date("at"))
+    order = ["at", "far"]
+    # Ids that fall as the day goes on, sparse over 62 bits.
+    df = ledger.withColumn("far", F.pmod(F.xxhash64("id"), F.lit(1 << 62)))
     values = {
         "total": scan.running_sum(F.col("amount")),
         "highest": scan.running_max(F.col("amount")),
