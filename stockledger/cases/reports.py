@@ -641,7 +641,7 @@ _PLAN_COLUMNS = (
 _PLAN_SCHEDULED = """
 select CustomerCode, concat(CustomerCode, ' - ', Name) as CustomerFullName, CustomerOrderNumber, PartNumber, max(Description) as PartName,
   max(ExtraDescription) as PartDescription, CustomerPartNumber, cast(sum(Quantity) as decimal(28,4)) as PlannedQuantity, UnitCode, CurrencyCode,
-  cast(price as decimal(28,8)) as PriceEach, cast(price as double) * cast(sum(Quantity) as double) as TotalPrice, DeliveryDate,
+  cast(price as decimal(28,8)) as PriceEach, cast(price as decimal(20,8)) * cast(sum(Quantity) as decimal(17,4)) as TotalPrice, DeliveryDate,
   max(UserCode) as PriceChangeUserBy, changed as PriceChangeDate, 'EDI' as CreatedBy
 from (
   select cr.CustomerCode, cr.Name, b.CustomerOrderNumber, p.PartNumber, p.Description, p.ExtraDescription, l.CustomerPartNumber, b.Quantity,
@@ -667,7 +667,7 @@ with calls as (
 _PLAN_ORDERED = """
 select cr.CustomerCode, concat(cr.CustomerCode, ' - ', cr.Name), o.BusinessContactOrderNumber, p.PartNumber, p.Description, p.ExtraDescription,
   l.CustomerPartNumber, cast(r.OrderedQuantity as decimal(28,4)), uc.Text, 'IDR', cast(r.Price * o.ExchangeRate as decimal(28,8)),
-  cast(r.Price * o.ExchangeRate as double) * cast(r.OrderedQuantity as double), r.DeliveryDate, cast(null as varchar), cast(null as timestamp),
+  cast(r.Price * o.ExchangeRate as decimal(20,8)) * cast(r.OrderedQuantity as decimal(17,4)), r.DeliveryDate, cast(null as varchar), cast(null as timestamp),
   (select min(h.ModifiedBy) from t_EntityChangeLog h where h.EntityId = o.Id and h.ChangeType = 1
      and h.EntityTypeId = '9A008BAB-1814-43EC-AFA5-4E42A5C3B36C')
 from t_CustomerOrder o join t_CustomerOrderRow r on r.ParentOrderId = o.Id join t_Currency cu on cu.Id = o.CurrencyId

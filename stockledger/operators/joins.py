@@ -74,12 +74,12 @@ def typed_lookup(
 def spread_left_join(df: DataFrame, table: DataFrame, hit: Column, table_key: str, parts: int = 4096) -> DataFrame:
     """Left join on ``hit == table_key`` in which rows without a key don't meet in one task.
 
-    A second key is 0 where there is a key on either side, and one of ``parts`` values otherwise.
+    A second key is 0 where there is a key, and one of ``parts`` values otherwise.
     """
     df = df.withColumn("__hit", hit)
     spread = F.when(F.col("__hit").isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(parts)) + 1).otherwise(F.lit(0))
-    # Not a literal, which would leave the second key out of the shuffle.
-    keyed = table.withColumn("__zero", F.when(F.col(table_key).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    # Always 0, but not a literal, which would leave the second key out of the shuffle.
+    keyed = table.withColumn("__zero", F.pmod(F.xxhash64(table_key), F.lit(1)))
     joined = df.withColumn("__spread", spread.cast("long"))
     return joined.join(keyed, (F.col("__hit") == F.col(table_key)) & (F.col("__spread") == F.col("__zero")), "left").drop("__hit", "__spread", "__zero")
 

@@ -312,7 +312,8 @@ def _ordered(catalog: Catalog, start, end, warehouse: int, currency: str) -> Dat
 
 
 def _totalled(df: DataFrame) -> DataFrame:
-    total = F.col("PriceEach").cast("double") * F.col("PlannedQuantity").cast("double")
+    # An exact product of 38 digits; amounts too large for it are an error, not a rounded value.
+    total = F.col("PriceEach").cast("decimal(20,8)") * F.col("PlannedQuantity").cast("decimal(17,4)")
     return df.withColumn("TotalPrice", total).select(*PLAN_COLUMNS)
 
 

@@ -414,7 +414,9 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def demo_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    return Catalog(spark, lambda name: demo_frame(spark, sf_dir, TABLES[name]), fill_missing=True)
+    """The business tables; results read several times go to the shared folder, where the session names one."""
+    workdir = spark.conf.get("spark.checkpoint.dir", None)
+    return Catalog(spark, lambda name: demo_frame(spark, sf_dir, TABLES[name]), fill_missing=True, workdir=workdir)
 
 
 def check_sql(body: str) -> str:
