@@ -96,6 +96,31 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(secrets.spans_text(base), 256).alias("base_sha256"), secrets.spans_text(spans).alias("spans"))
 
 
+def _op7_sql() -> str:
+    """The pieces between matches and the matches rebuild a text, so their lengths give the places."""
+    found = []
+    for rank, rule in enumerate(secrets.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        found.append(
+            f"select doc_id, '{rule.kind}' as kind, {rank} as rank, {rule.least} as least, regexp_split_to_array(t, '{pattern}') as gaps, "
+            f"regexp_extract_all(t, '{pattern}') as found, regexp_extract_all(t, '{pattern}', {rule.group}) as kept from texts"
+        )
+    return f"""
+with texts as (select doc_id, coalesce(text, '') as t from documents),
+found as ({" union all ".join(found)}),
+each as (select *, unnest(range(1, len(found) + 1)) as i from found where len(found) > 0),
+spans as (
+  select doc_id, kind, rank, length(found[i]) as n, cast(list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) as bigint) as s from each where length(kept[i]) >= least)
+select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(concat(kind, ':', s, ':', s + n), ',' order by s, rank) filter (rank < {len(secrets.BASE_RULES)}), '')) as base_sha256,
+  coalesce(string_agg(concat(kind, ':', s, ':', s + n), ',' order by s, rank) filter (kind is not null), '') as spans
+from documents d left join spans using (doc_id) group by d.doc_id"""
+
+
+OP7_SQL = _op7_sql()
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -139,4 +164,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {"op3_substring_dedup": OP3_SQL, "op6_embedding_near_dedup": OP6_SQL, "op10_benchmark_decontamination": OP10_SQL}
+ORACLES: dict[str, str] = {"op3_substring_dedup": OP3_SQL, "op6_embedding_near_dedup": OP6_SQL, "op7_secret_scans": OP7_SQL, "op10_benchmark_decontamination": OP10_SQL}
