@@ -134,14 +134,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("kmer is 1 to window")
     keyed = _keyed(docs, id_col, text_col)
     found = staged(_path_table(keyed, window, kmer), "paths")
-    shared = found.groupBy("m").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high")).filter("k > 1").select("m", (F.col("low") != F.col("high")).alias("branches"))
+    # Written first: joined straight to their own aggregate, the paths of a hot minimizer would stay in
+    # the task that counted them. So both sides have an exchange, and a hot one is split.
+    counted = found.groupBy("m").agg(F.count("*").alias("k"), F.min("c").alias("low"), F.max("c").alias("high"))
+    shared = staged(counted.filter("k > 1").select("m", (F.col("low") != F.col("high")).alias("branches")), "shared-minimizers")
     repeated = staged(found.join(shared, "m"), "repeated-paths")
     whole = repeated.filter(~F.col("branches")).select("id", "h", "start", "n")
     branching = repeated.filter("branches").drop("branches")
     kinds = staged(branching.groupBy("m", "c").agg(F.count("*").alias("k"), F.min(F.struct("id", "h", "start", "n")).alias("one")), "branching-paths")
     twins = branching.join(kinds.filter("k > 1").select("m", "c"), ["m", "c"]).select("id", "h", "start", "n")
     windows = staged(_single_windows(keyed, kinds.select("one.*", "m", (F.col("k") == 1).alias("alone")), window), "windows")
-    again = windows.groupBy("m", "w").agg(F.count("*").alias("k")).filter("k > 1").select("m", "w")
+    again = staged(windows.groupBy("m", "w").agg(F.count("*").alias("k")).filter("k > 1").select("m", "w"), "repeated-windows")
     single = windows.filter("alone").join(again, ["m", "w"]).select("id", "h", F.col("at").alias("start"), F.lit(1).alias("n"))
     ranges = whole.unionByName(twins).unionByName(single)
     return ranges.select("id", "h", "start", (F.col("start") + F.col("n") + window - 1).alias("stop"))
