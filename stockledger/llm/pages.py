@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Most pages the weights are learned from, those of the least hash.
+#: Most different pages the weights are learned from, those of the least hash.
 SAMPLE_PAGES = 2_000
 
 # Elements of HTML by role, and names that mark elements other than content.
@@ -30,11 +30,11 @@ _BLOCKS = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NEVER = frozenset("nav footer aside form script style noscript template iframe object svg math canvas button select textarea dialog menu head title audio video map".split())
 _NAMES = re.compile(
-    r"^(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|sidebar|side-?bar\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|header|site-?header|page-?header|masthead|topbar|footer|site-?footer"
-    r"|page-?footer|comments?|comment-\w+|respond|disqus\w*|cookies?|cookie-\w+|consent|notices?|notice-\w+|alert\w*|popup\w*|modal\w*|newsletter\w*|subscribe\w*|subscription"
-    r"|signup|login|share|sharing|social\w*|related|related-\w+|recommend\w*|widget\w*|tags|pagination|pager|skip-?link|copyright|legal|disclaimer|search-?form|toolbar|reactions?|replies|reader-comments)$",
+    r"^(?:.*[-_])?(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|sidebar\w*|menu\w*|nav|navbar|navigation|breadcrumbs?|footer|comments?|respond|disqus|cookies?|consent|notices?|alert\w*"
+    r"|popup\w*|modal\w*|newsletter\w*|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|widgets?|tags|pagination|pager|copyright|disclaimer|toolbar|reactions?|replies)(?:[-_].*)?$",
     re.I,
 )
+_HEADERS = re.compile(r"^(?:(?:site-?|page-?|top-?)?header|masthead|topbar)$", re.I)
 _RAW = "script|style|textarea|title|noscript|iframe|xmp"
 _TOKEN = re.compile(rf"<!--(?:.*?-->|.*\Z)|<({_RAW})\b[^>]*>(?:.*?</\1\s*>|.*\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>", re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -81,7 +81,7 @@ def pieces(page: str) -> Iterator[Piece]:
         names = [y for x in _ATTRIBUTE.findall(attributes) for y in "".join(x[1:]).split()] if attributes.strip() else []
         key = ".".join([name, *names[:1]])
         # A header of the article itself holds its title.
-        bad = excluded or name in _NEVER or name == "header" and not inside or any(_NAMES.match(x) for x in names)
+        bad = excluded or name in _NEVER or any(_NAMES.match(x) for x in names) or not inside and (name == "header" or any(_HEADERS.match(x) for x in names))
         inside = inside or name in ("article", "main")
         yield key, 0, "", block, inside, bad
         if name == "br":
@@ -141,10 +141,13 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def learn_weights(labelled: DataFrame, html_col: str = "html", most: int = SAMPLE_PAGES) -> Weights:
-    """Weights from at most ``most`` pages with content marked by ``article`` or ``main``. Without pages, even ones."""
+    """Weights from at most ``most`` different pages with content marked by ``article`` or ``main``. Without pages, even ones."""
     page = F.col(html_col).cast("string")
     marked = labelled.select(page.alias("html")).filter(page.rlike("(?i)<(article|main)[ >]"))
-    sample = marked.orderBy(F.xxhash64("html"), "html").limit(most)
+    # Only hashes are sorted; the pages themselves are counted where they are read.
+    place = F.xxhash64("html")
+    last = marked.select(place.alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    sample = marked.filter(place <= F.lit(last)) if last is not None else marked.limit(0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, outside = Counter(), Counter()

@@ -114,9 +114,9 @@ def test_leaks_in_blocks_of_items(spark, monkeypatch):
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
 <header><p>Site name and slogan here</p></header><nav><ul><li><a href="/a">Home page</a></li><li><a href="/b">News</a></li></ul></nav>
-<div class="ad">Buy this now please do</div><aside><p>Side text with many words in it</p></aside>%s<form><p>Sign up here</p></form>
+<div class="ad">Buy this now please do</div><aside><p>Side text with many words in it</p></aside><div class="main-nav"><p>Go to</p></div><div id="cookie-notice"><p>We use cookies</p></div>%s<form><p>Sign up here</p></form>
 <section class="comments"><p>I liked it a lot, thank you very much</p></section><footer>&copy; someone</footer></body></html>"""
-BODY = "<h1>Title\n of it</h1><p><b>One &lt;two&gt;&nbsp;three<br>four</b><!-- <p>never</p> --><p>Five  six\tseven</p><div class='promo'>Offer</div><ul><li>eight</li><li>nine ten</li></ul>"
+BODY = "<h1 class='article-header'>Title\n of it</h1><p><b>One &lt;two&gt;&nbsp;three<br>four</b><!-- <p>never</p> --><p>Five  six\tseven</p><div class='promo'>Offer</div><ul><li>eight</li><li>nine ten</li></ul>"
 TEXT = "Title of it\nOne <two> three four\nFive six seven\neight\nnine ten"
 
 
