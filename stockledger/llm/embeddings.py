@@ -24,7 +24,7 @@ from stockledger.llm.store import staged
 from stockledger.llm.words import mixed, signed
 
 COSINE = 0.93
-TABLES, HASHES, PROBES = 8, 2, 3
+TABLES, HASHES, PROBES = 8, 3, 5
 BLOCK = 768
 
 _SMALL = 24
@@ -92,16 +92,20 @@ def _coded(vectors: DataFrame, tables: int, hashes: int, probes: int) -> DataFra
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * keys.shape[1], pa.int32()), pa.array(signed(keys.reshape(-1))))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], ["id", "copies", "label", "v", "keys"])
 
-    return vectors.mapInArrow(code, "id long, copies long, label long, v array<double>, keys array<long>")
+    return vectors.mapInArrow(code, f"id long, copies long, label long, v {vectors.schema['v'].dataType.simpleString()}, keys array<long>")
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Whether ``key`` is the least key that rows of a and b share, pair by pair; rows of keys are sorted."""
-    least = np.full(len(a), np.iinfo(np.int64).max)
-    for k in range(a.shape[1]):
-        column = a[:, k]
-        least = np.minimum(least, np.where((b == column[:, None]).any(axis=1), column, np.iinfo(np.int64).max))
-    return least == key
+    first, open_ = np.ones(len(a), bool), np.arange(len(a))
+    for k in range(a.shape[1]):  # pairs that share a lesser key, or have no lesser one left, are done
+        open_ = open_[a[open_, k] < key[open_]]
+        if not len(open_):
+            break
+        shared = (b[open_] == a[open_, k][:, None]).any(axis=1)
+        first[open_[shared]] = False
+        open_ = open_[~shared]
+    return first
 
 
 class _Groups:
@@ -217,7 +221,9 @@ def near_duplicates(
     one component; null ids get none. Other columns are not read; an empty table gives no rows.
     """
     v = F.col("v")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
+    # Single-precision vectors are shuffled as they are; all sums are in double precision.
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).cast(kind).alias("v"))
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.col("label").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
     groups = rows.filter(usable & F.col("id").isNotNull()).groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
