@@ -17,7 +17,7 @@ import pyarrow as pa
 # ASCII white space, space and 09 to 0D.
 WHITE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def column_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
