@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockledger.llm.components import components
+from stockledger.llm.near_texts import keep_one
 from stockledger.llm.store import staged
 
 SHINGLE_WORDS = 3
@@ -128,10 +129,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near-duplicates, that of the least id, with all columns of ``docs``.
 
-    Of rows with the same id one stays. Rows with a null id can't be named and all stay.
+    Rows of the same id merge only with equal text. Rows with a null id can't be named and all stay.
     """
-    groups = near_duplicates(docs, id_col, text_col, max_bits)
-    kept = groups.select(F.col("component_id").alias("_llm_kept")).filter("_llm_kept is not null").distinct()
-    # Documents are the large side; the ids are hashed in memory, as many as documents at most.
-    named = docs.join(kept.hint("shuffle_hash"), docs[id_col] == F.col("_llm_kept"), "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    # Rows get a name of their own from id and text, as an id may stand on several texts.
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("h"), F.col(text_col).alias("text"))
+    rows = texts.select(F.xxhash64("id", "h").alias("row"), "id", "h", "text")
+    groups = near_duplicates(rows, "row", "text", max_bits).select("row", F.col("component_id").alias("component")).distinct()
+    return keep_one(docs, rows.select("row", "id", "h").join(groups, "row").select("id", "h", "component"), id_col, text_col)

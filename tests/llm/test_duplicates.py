@@ -157,3 +157,9 @@ def test_near_texts_with_repeated_and_null_ids(spark):
     long = " ".join(f"w{i}" for i in range(60))
     docs = frame(spark, ["alone on an id that repeats", long, long, "z", None, long], [4, 4, 7, None, None, 4])
     assert rows(near_texts.drop_near_texts(docs), "doc_id", "text") == sorted([(4, "alone on an id that repeats"), (4, long), (None, "z"), (None, None)], key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_simhash_keeps_unlike_texts_of_one_id(spark):
+    one, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    docs = frame(spark, [one, other, other, one, one], [4, 4, 4, 7, 4])
+    assert rows(simhash.drop_near_duplicates(docs), "doc_id", "text") == [(4, one), (4, other)]
