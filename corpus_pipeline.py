@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockledger.llm import decontaminate, near_texts, packing, quality, secrets
+from stockledger.llm import decontaminate, packing, quality, secrets, simhash
 from stockledger.llm.queries import documents
 from stockledger.llm.store import staged
 
@@ -24,9 +24,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least id of each group of near-duplicates."""
+    """Keeps the least id of each group that links of the SimHash operator reach: three-word shingles, at most 3 bits."""
     documents(spark, sf_dir)
-    return near_texts.drop_near_texts(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
