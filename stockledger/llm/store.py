@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), the context's or a temporary one."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, the context's, and in local mode (tests) a temporary one.
+
+    A cluster without either is an error, as no folder of one machine is read by the others.
+    """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="llm-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        folder = "file://" + tempfile.mkdtemp(prefix="llm-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
