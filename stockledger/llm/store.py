@@ -6,6 +6,7 @@ import atexit
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,25 +39,36 @@ def _run_folder(spark: SparkSession) -> str:
         context = spark.sparkContext
 
         def remove() -> None:
-            if context._jsc is None:
-                return
-            path = context._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+            if context._jsc is not None:
+                _delete(context, folder)
 
         atexit.register(remove)
     return _started[app]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def _delete(context, folder: str) -> None:
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staged(df: DataFrame, name: str, over: DataFrame | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Later stages start from these files, so a lost executor costs the work since then and no more.
-    The files stay until the application ends.
+    The files stay until the application ends, or until a later result is staged ``over`` this one,
+    which nothing may read any more then.
     """
     spark = df.sparkSession
     path = f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    result = spark.read.schema(df.schema).parquet(path)
+    _paths[result] = path
+    if over is not None:
+        _delete(spark.sparkContext, _paths.pop(over))
+    return result
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
