@@ -191,7 +191,9 @@ def _descended(store: list[DataFrame], starts: DataFrame, wanted: DataFrame) ->
     for step in range(max(len(store) - 1, 0), -1, -1):
         low, high = 1 << (STEP * step), 1 << (STEP * (step + 1))
         stands = (F.col("n") <= high) & (F.col("n") > low) if step else F.col("n") <= high
-        here = starts.filter(stands).select("tree", F.lit(0).cast("long").alias("at"), "digest", "path", "group", "subroot")
+        # A lone leaf is in no record; its digest may still be that of one, the root of a tree below.
+        record = F.when(F.col("n") > 1, F.col("digest")).alias("digest")
+        here = starts.filter(stands).select("tree", F.lit(0).cast("long").alias("at"), record, "path", "group", "subroot")
         front = here if front is None else front.unionByName(here)
         if step:
             both = front.join(digits[step - 1], ["tree", "at"]).join(_by_digest(store[step]), "digest")
@@ -235,7 +237,7 @@ def prove(manifest: Manifest, ids: DataFrame | None = None) -> DataFrame:
 
     def answered(requests: DataFrame, starts: DataFrame) -> DataFrame:
         rows = requests.join(_descended(manifest.store, starts, requests), ["tree", "at"])
-        if manifest.store:  # a lone leaf is in no record
+        if manifest.store:
             rows = rows.join(_by_digest(manifest.store[0]), "digest", "left")
         else:
             rows = rows.withColumns({"children": F.lit(None).cast("array<string>"), "height": F.lit(None).cast("int")})
