@@ -9,10 +9,6 @@ from stockledger.operators import joins, scan, spine, temporal
 from stockledger.sources.demo import role
 
 
-def _days(time: str):
-    return scan.time_cells(time, "day")
-
-
 @case(
     "i:part_id s:location_name d:delivery_date i:movement_id n:physical_balance",
     """
@@ -98,7 +94,6 @@ def sum_in_range(spark, sf_dir):
             "received_since": F.when(change > 0, change).otherwise(zero),
             "issued_since": F.when(change < 0, change).otherwise(zero),
         },
-        cells=_days,
     )
 
 
@@ -173,7 +168,7 @@ def running_total(spark, sf_dir):
         ["voucher_date", "voucher_id"],
         "difference",
         "running_difference",
-        cells=scan.order_cells(["voucher_date", "voucher_id"]),
+        cells=scan.EvenCells(),
     )
 
 
@@ -192,7 +187,7 @@ def fill_forward(spark, sf_dir):
     documents = role(spark, sf_dir, "v_document")
     return scan.fill_forward(
         documents, [], ["logging_ts", "movement_id"], "document_number", "filled_number",
-        cells=scan.time_cells("logging_ts", "day", "minute"),
+        cells=scan.EvenCells(),
     )
 
 
@@ -230,7 +225,7 @@ from marked""",
 def number_islands(spark, sf_dir):
     return scan.fill_gaps(
         role(spark, sf_dir, "v_document"), [], ["logging_ts", "movement_id"], "document_number",
-        cells=scan.time_cells("logging_ts", "day", "minute"),
+        cells=scan.EvenCells(),
     )
 
 

@@ -7,7 +7,9 @@ cell as one extra leading row. The cell totals come from a normal aggregate, whi
 before the shuffle. Nothing is joined back: rows and carry rows meet in the one exchange the
 window needs anyway.
 
-With several cell columns the carry is itself scanned cell by cell, coarse to fine.
+With several cell columns the carry is itself scanned cell by cell, coarse to fine. ``EvenCells``
+cut the order where the rows are: keys of few rows stay whole and cost one count, and a large one gets
+as many cells as its rows need, whatever its calendar looks like.
 """
 
 from __future__ import annotations
@@ -18,6 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _IS_ROW = "__is_row"
+_CELL, _BLOCK, _ORDER, _ALL = "__cell", "__block", "__order", "__all"
+
+#: Rows of a key beyond which it is cut, and about the rows of a cell.
+CELL_ROWS = 1 << 18
+#: Most cells of all keys together. Their cuts go to all tasks: one row of the order columns each.
+MOST_CELLS = 1 << 14
+_SAMPLES = 16
+_FAN = 1 << 7
 
 
 @dataclass(frozen=True)
@@ -55,22 +65,87 @@ def running_last(column: Column) -> Running:
     return Running("last", column)
 
 
+@dataclass(frozen=True)
+class EvenCells:
+    """Cells of about ``rows`` rows for every key that has more.
+
+    One job counts the rows per key. Without a larger key that is all, and the scan is a plain window.
+    Otherwise a second job takes a sample of the orders of these keys, picked by hash and about 16 to a
+    cell, and every 16th of them in order is a cut. Only where to cut comes from the sample; all rows
+    are scanned. Should the keys need more than ``most`` cells, cells hold more rows instead, which
+    bounds the cuts the driver and the tasks hold. Rows of equal order are never parted.
+    """
+
+    rows: int = CELL_ROWS
+    most: int = MOST_CELLS
+
+    def cuts(self, df: DataFrame, keys: list[str], order: list[str]) -> Cuts | None:
+        """The cuts for ``df``, to be used by several scans of these keys and this order; None where no key is large."""
+        counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+        most, total = counts.agg(F.max("__n"), F.sum("__n")).first()
+        size = max(float(self.rows), (total or 0) / self.most)
+        if (most or 0) <= size:
+            return None
+        if not keys:
+            df, keys = _one_key(df, order), [_ALL]
+            counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+        # At most one key for each cell.
+        large = F.broadcast(counts.filter(F.col("__n") > size).select(*[F.col(k).alias(f"__l_{k}") for k in keys]))
+        picked = F.pmod(F.xxhash64(*keys, *order), F.lit(1 << 30)) < F.lit(float(_SAMPLES << 30) / size)
+        sampled = df.select(*keys, F.struct(*order).alias("__o")).filter(picked).join(large, _same(keys), "left_semi")
+        every = F.filter(F.sort_array(F.collect_list("__o")), lambda x, i: i % _SAMPLES == _SAMPLES - 1)
+        cut = sampled.groupBy(*[F.col(k).alias(f"__l_{k}") for k in keys]).agg(every.alias("__c"))
+        ends = F.transform(F.sequence(F.lit(0), F.size("__c")), lambda i: F.struct(F.get("__c", i - 1).alias("lo"), F.get("__c", i).alias("hi")))
+        table = cut.select(*[f"__l_{k}" for k in keys], F.posexplode(ends).alias(_CELL, "__e")).select("*", "__e.lo", "__e.hi").drop("__e")
+        return Cuts(df.sparkSession.createDataFrame(table.collect(), table.schema))
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """(keys, cell, lo, hi) of the large keys; a cell holds the orders from ``lo`` to before ``hi``."""
+
+    table: DataFrame
+
+    def placed(self, df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+        """``df`` with the cell of each row, NULL where the key has none: looked up by blocks of cells, then within the block."""
+        named = [f"__l_{k}" for k in keys]
+        cuts = self.table.withColumn(_BLOCK, F.floor(F.col(_CELL) / _FAN))
+        blocks = cuts.groupBy(*named, _BLOCK).agg(F.min_by("lo", _CELL).alias("lo"), F.max_by("hi", _CELL).alias("hi"))
+        inside = (F.col("lo").isNull() | (F.col("lo") <= F.col(_ORDER))) & (F.col("hi").isNull() | (F.col(_ORDER) < F.col("hi")))
+        found = df.withColumn(_ORDER, F.struct(*order)).join(F.broadcast(blocks), [*_same(keys), inside], "left").drop(*named, "lo", "hi")
+        own = cuts.withColumnRenamed(_BLOCK, "__b")
+        return found.join(F.broadcast(own), [*_same(keys), F.col(_BLOCK) == F.col("__b"), inside], "left").drop(*named, "lo", "hi", "__b", _BLOCK, _ORDER)
+
+
+def _one_key(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` as one key of all rows; not a literal, which no join takes as its key."""
+    return df.withColumn(_ALL, F.pmod(F.xxhash64(order[0]), F.lit(1)))
+
+
+def _same(keys: list[str]) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"__l_{k}")) for k in keys]
+
+
 def scan(
     df: DataFrame,
     keys: list[str],
     order: list[str],
     values: dict[str, Running],
-    cells: dict[str, Column] | None = None,
+    cells: dict[str, Column] | EvenCells | Cuts | None = None,
     reverse: bool = False,
     peers: bool = False,
     basis: DataFrame | None = None,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Adds one column per entry of ``values``: its running value per ``keys`` in ``order``.
 
-    ``order`` must not contain NULLs and should be total; rows it leaves tied are taken in any
-    order, or together when ``peers`` is set. ``reverse`` runs from the last row to the first.
-    ``cells`` names expressions that never decrease along ``order``, coarse to fine (build them with
-    ``time_cells`` or ``order_cells``); a group is then split over as many tasks as it has cells. Without cells this is a plain window.
+    ``order`` should be total; rows it leaves tied are taken in any order, or together when ``peers``
+    is set. ``reverse`` runs from the last row to the first. ``cells`` are ``EvenCells``, or names of
+    expressions that never decrease along ``order``, coarse to fine (``time_cells``, ``order_cells``;
+    then ``order`` must not contain NULLs); a group is split over as many tasks as it has cells.
+    Without cells this is a plain window.
+
+    Without ``inclusive`` a row's value is that of the rows before it.
 
     The cell totals read the input a second time. If ``df`` is expensive because of columns the
     totals do not need, give as ``basis`` the same rows without them.
@@ -79,16 +154,25 @@ def scan(
 
     def tag(rows):
         tagged = rows.withColumns({c: v.column for c, v in inputs.items()})
-        return tagged.withColumns(cells) if cells else tagged
-
-    result = _scan(
-        tag(df), keys, order, inputs, list(cells or {}), reverse, peers, True, None if basis is None else tag(basis)
-    )
-    kept = [F.col(c) for c in df.columns]
+        return tagged.withColumns(cells) if cells and not even else tagged
+
+    columns = df.columns
+    if isinstance(cells, EvenCells):
+        cells = cells.cuts(df if basis is None else basis, keys, order)
+    even = isinstance(cells, Cuts)
+    if even and not keys:
+        keys = [_ALL]
+        df, basis = (None if x is None else _one_key(x, order) for x in (df, basis))
+    rows, about = tag(df), None if basis is None else tag(basis)
+    if even:
+        rows, about = (None if x is None else cells.placed(x, keys, order) for x in (rows, about))
+    names = [_CELL] if even else list(cells or {})
+    result = _scan(rows, keys, order, inputs, names, reverse, peers, inclusive, about, even)
+    kept = [F.col(c) for c in columns]
     return result.select(*kept, *[F.col(f"__out_{c}").alias(c[len("__in_"):]) for c in inputs])
 
 
-def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive, basis=None):
+def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive, basis=None, even=False):
     def ordered(names):
         return [F.col(c).desc() if reverse else F.col(c).asc() for c in names]
 
@@ -101,9 +185,10 @@ def _scan(df, keys, order, inputs, cells, reverse, peers, inclusive, basis=None)
         window = frame(Window.partitionBy(*keys).orderBy(*ordered(order)))
         return df.withColumns({f"__out_{c}": v.over(F.col(c), window) for c, v in inputs.items()})
 
-    totals = (df if basis is None else basis).groupBy(*keys, *cells).agg(
-        *[v.total(F.col(c), order, reverse).alias(c) for c, v in inputs.items()]
-    )
+    source = df if basis is None else basis
+    if even:  # the other keys have nothing to carry
+        source = source.filter(F.col(_CELL).isNotNull())
+    totals = source.groupBy(*keys, *cells).agg(*[v.total(F.col(c), order, reverse).alias(c) for c, v in inputs.items()])
     carry = _scan(totals, keys, cells, inputs, cells[:-1], reverse, False, False).select(
         *keys,
         *cells,
@@ -159,7 +244,7 @@ def fill_gaps(
     keys: list[str],
     order: list[str],
     number: str,
-    cells: dict[str, Column] | None = None,
+    cells: dict[str, Column] | EvenCells | None = None,
     peers: list[str] | None = None,
 ) -> DataFrame:
     """Surroundings of every missing ``number`` in document order.
@@ -171,76 +256,38 @@ def fill_gaps(
     and, for rows without a number, ``steps_after`` and ``steps_before``: the position in the
     island counted from its front and from its back.
 
-    One scan gives the island and the count of missing rows so far. Everything else is a property
-    of the island, so it comes from an aggregate by island that is joined back.
+    Islands and steps are scanned over rows or, with peers, over one row per point, which is joined
+    back; the numbers around a row are two fills. So no row waits for the others of its point.
     """
     missing = F.col(number).isNull()
-    ranked = scan(
-        df,
-        keys,
-        order,
-        {
-            "island": running_sum(F.when(missing, 0).otherwise(1).cast("long")),
-            "__missing": running_sum(F.when(missing, 1).otherwise(0).cast("long")),
-        },
-        cells,
-    )
-    # What a row tells about its own island and, if it has a number, about the island before: that
-    # number is the next one there.
-    def about(island, anchor, following, before, size):
-        return F.struct(
-            island.cast("long").alias("island"),
-            anchor.alias("anchor"),
-            following.alias("following"),
-            before.cast("long").alias("before"),
-            size.cast("long").alias("size"),
-        )
-
-    none, text = F.lit(None), F.col(number)
-    gap = F.when(missing, 1).otherwise(0)
-    facts = F.array(
-        about(F.col("island"), text, none.cast(ranked.schema[number].dataType), F.col("__missing") - gap, gap),
-        about(F.when(~missing, F.col("island") - 1), none.cast(ranked.schema[number].dataType), text, none, none),
-    )
-    context = (
-        ranked.select(*keys, F.explode(facts).alias("fact"))
-        .filter("fact.island is not null")
-        .groupBy(*keys, F.col("fact.island").alias("island"))
-        .agg(
-            F.max("fact.anchor").alias("__anchor"),
-            F.max("fact.following").alias("__next"),
-            F.min("fact.before").alias("__before"),
-            F.sum("fact.size").alias("__size"),
-        )
-    )
-    step = F.col("__missing") - F.col("__before")
-    found = (
-        _join_safe(ranked, context, keys + ["island"], "left")
-        .withColumns(
-            {
-                "previous_number": F.col("__anchor"),
-                "next_number": F.coalesce(F.col(number), F.col("__next")),
-                "steps_after": F.when(missing, step),
-                "steps_before": F.when(missing, F.col("__size") - step + 1),
-            }
-        )
-        .drop("__missing", "__before", "__size", "__anchor", "__next")
-    )
-    return found if peers is None else _peer_steps(found, keys, peers, missing, cells)
-
-
-def _peer_steps(found: DataFrame, keys: list[str], peers: list[str], missing: Column, cells) -> DataFrame:
-    """``fill_gaps`` with islands and steps counted by points of the peer columns, one row each."""
-    points = found.groupBy(*keys, *peers).agg(F.count_if(~missing).alias("__named"), F.count_if(missing).alias("__gaps"))
-    run = scan(points, keys, peers, {"__group": running_sum(F.col("__named")), "__run": running_sum(F.col("__gaps"))}, cells)
-    islands = run.groupBy(*keys, "__group").agg((F.max("__run") - F.sum("__gaps")).alias("__before"), F.sum("__gaps").alias("__size"))
-    steps = _join_safe(run, islands, [*keys, "__group"], "left").withColumn("__after", F.col("__run") - F.col("__before"))
-    steps = steps.withColumn("__back", F.col("__size") - F.col("__after") + F.col("__gaps"))
-    return (
-        _join_safe(found, steps.select(*keys, *peers, "__group", "__after", "__back"), [*keys, *peers], "left")
-        .withColumns({"island": F.col("__group"), "steps_after": F.when(missing, F.col("__after")), "steps_before": F.when(missing, F.col("__back"))})
-        .drop("__group", "__after", "__back")
-    )
+    if isinstance(cells, EvenCells):  # cut once for the scans of the rows, and once for those of the points
+        even, cells = cells, cells.cuts(df, keys, order)
+    else:
+        even = None
+    named, gaps = F.when(missing, 0).otherwise(1).cast("long"), F.when(missing, 1).otherwise(0).cast("long")
+    found = scan(df, keys, order, {"previous_number": running_last(F.col(number))}, cells)
+    found = scan(found, keys, order, {"next_number": running_last(F.col(number))}, cells, reverse=True)
+    if peers is None:
+        found = _islands(found.withColumns({"__named": named, "__gaps": gaps}), keys, order, cells)
+    else:
+        points = df.groupBy(*keys, *peers).agg(F.sum(named).alias("__named"), F.sum(gaps).alias("__gaps"))
+        found = _join_safe(found, _islands(points, keys, peers, even.cuts(points, keys, peers) if even else cells), [*keys, *peers], "left")
+    steps = {"steps_after": F.col("__run") - F.col("__before"), "steps_before": F.col("__until") - F.col("__run") + F.col("__gaps")}
+    found = found.withColumns({"island": F.col("__group"), **{c: F.when(missing, v) for c, v in steps.items()}})
+    return found.select(*df.columns, "island", "previous_number", "next_number", "steps_after", "steps_before")
+
+
+def _islands(df: DataFrame, keys: list[str], order: list[str], cells) -> DataFrame:
+    """Of rows with ``__named`` numbers and ``__gaps``: the running counts ``__group`` and ``__run``, and the gaps
+    counted before the row's island and until its end."""
+    run = scan(df, keys, order, {"__group": running_sum(F.col("__named")), "__run": running_sum(F.col("__gaps"))}, cells)
+    # An island starts with the gaps counted so far and ends with those counted when the next one starts.
+    opens = F.when(F.col("__named") > 0, F.col("__run") - F.col("__gaps"))
+    started = scan(run, keys, order, {"__before": running_last(opens)}, cells)
+    # From the back, what the rows behind this one know: where the next island starts, or how many gaps there are.
+    behind = {"__next": running_last(opens), "__most": running_max(F.col("__run"))}
+    ahead = scan(started, keys, order, behind, cells, reverse=True, inclusive=False)
+    return ahead.withColumns({"__before": F.coalesce("__before", F.lit(0)), "__until": F.coalesce("__next", "__most", "__run")})
 
 
 def _join_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:

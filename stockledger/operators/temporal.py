@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockledger.operators.joins import salted_join
-from stockledger.operators.scan import running_last, running_max, running_sum, scan, time_cells
+from stockledger.operators.scan import EvenCells, running_last, running_max, running_sum, scan
 
 _T, _SIDE, _VALUE = "__t", "__side", "__value"
 
@@ -41,9 +41,13 @@ def first_match_join(
 
 
 def latest_version(df: DataFrame, keys: list[str], version: str) -> DataFrame:
-    """Rows whose ``version`` is the highest of their key; ties are all kept, NULL keys drop out."""
-    newest = df.groupBy(*keys).agg(F.max(version).alias(version))
-    return df.join(newest, [*keys, version], "left_semi")
+    """Rows whose ``version`` is the highest of their key; ties are all kept, NULL keys and versions drop out.
+
+    The input is read once, and the rank lets Spark drop lower versions of a task before the shuffle.
+    """
+    window = Window.partitionBy(*keys).orderBy(F.col(version).desc())
+    known = df.filter(_not_null([*keys, version]))
+    return known.withColumn("__rank", F.rank().over(window)).filter("__rank = 1").drop("__rank")
 
 
 def asof_join(
@@ -67,7 +71,7 @@ def asof_join(
 
     After that a key has at most one row per point in time and side. For times that are whole days
     this bounds the group by the days of the data, however many rows the key has. For finer times
-    pass ``cells`` (a function of the time column name) to split hot keys.
+    pass ``cells`` (``EvenCells``, or a function of the time column name) to split hot keys.
     """
     best = F.max(F.struct(*(tie or []), *values))
     steps = right.groupBy(*on, F.col(right_time).alias(_T)).agg(best.alias(_VALUE))
@@ -103,7 +107,7 @@ def _lookup(left, steps, on, left_time, values, running, cells, dedupe):
     both = points.withColumn(_SIDE, F.lit(1)).unionByName(steps, allowMissingColumns=True)
     where = points.select(*on, _T).withColumn(_SIDE, F.lit(1)).unionByName(steps, allowMissingColumns=True)
     found = (
-        scan(both, on, [_T, _SIDE], {"__found": running(F.col(_VALUE))}, cells(_T) if cells else None, basis=where)
+        scan(both, on, [_T, _SIDE], {"__found": running(F.col(_VALUE))}, _cells(cells), basis=where)
         .filter(F.col(_SIDE) == 1)
         .withColumns({v: F.col("__found")[v] for v in values})
         .drop(_SIDE, _VALUE, "__found")
@@ -121,44 +125,50 @@ def sum_in_range(
     fact_time: str,
     sums: dict[str, Column],
     side: str = "from",
-    cells=None,
+    cells=EvenCells(),
+    combine: bool = False,
 ) -> DataFrame:
     """Sums of the facts at or after (``side="from"``) or up to (``"until"``) each point's time.
 
     A range condition in a join compares every point of a key with every fact of it. Here both
     are put on one time axis and a running sum is read off at the points, so the work grows with
-    the rows and not with their product. Constant bounds belong in a filter on ``facts``. Points
-    without any fact get 0; points with no time or key get 0 as well, as an empty range does.
+    the rows and not with their product, and every row is shuffled once. Constant bounds belong in a
+    filter on ``facts``. Points without any fact get 0; points with no time or key get 0 as well, as an
+    empty range does, and are spread over the tasks.
+
+    ``cells`` cut hot keys, but never rows of one time. Where many facts share a time, as whole days
+    do, set ``combine``: they are summed per key and time first.
     """
     if side not in ("from", "until"):
         raise ValueError("side is 'from' or 'until'")
     backwards = side == "from"
-    steps = (
-        facts.groupBy(*on, F.col(fact_time).alias(_T))
-        .agg(*[F.sum(c).alias(f"__sum_{n}") for n, c in sums.items()])
-        .filter(_not_null([*on, _T]))
-        .withColumn(_SIDE, F.lit(1 if backwards else 0))
-    )
-    where = (
-        points.select(*on, F.col(point_time).alias(_T))
-        .filter(_not_null([*on, _T]))
-        .distinct()
-        .withColumn(_SIDE, F.lit(0 if backwards else 1))
+    axis = facts.select(*on, F.col(fact_time).alias(_T), *[c.alias(f"__sum_{n}") for n, c in sums.items()])
+    steps = axis.filter(_not_null([*on, _T]))
+    if combine:
+        steps = steps.groupBy(*on, _T).agg(*[F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in sums])
+    lost = F.pmod(F.xxhash64(*[c for c, kind in points.dtypes if "map<" not in kind]), F.lit(4096)) + 1
+    asked = points.withColumns(
+        {
+            _T: F.col(point_time),
+            _SIDE: F.lit(0 if backwards else 1),
+            "__lost": F.when(_not_null([*on, point_time]), F.lit(0)).otherwise(lost).cast("long"),
+        }
     )
-    totals = (
-        scan(
-            where.unionByName(steps, allowMissingColumns=True),
-            on,
-            [_T, _SIDE],
-            {n: running_sum(F.col(f"__sum_{n}")) for n in sums},
-            cells(_T) if cells else None,
-            reverse=backwards,
-        )
-        .filter(F.col(_SIDE) == (0 if backwards else 1))
-        .select(*on, F.col(_T).alias(point_time), *sums)
-    )
-    joined = points.join(totals, [*on, point_time], "left")
-    return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in sums})
+    known = steps.withColumns({_SIDE: F.lit(1 if backwards else 0), "__lost": F.lit(0).cast("long")})
+    totals = scan(
+        asked.unionByName(known, allowMissingColumns=True),
+        [*on, "__lost"],
+        [_T, _SIDE],
+        {n: running_sum(F.col(f"__sum_{n}")) for n in sums},
+        _cells(cells),
+        reverse=backwards,
+    ).filter(F.col(_SIDE) == (0 if backwards else 1))
+    total = {n: F.when(F.col("__lost") == 0, F.coalesce(F.col(n), F.lit(0))).otherwise(F.lit(0)) for n in sums}
+    return totals.select(*points.columns, *[c.alias(n) for n, c in total.items()])
+
+
+def _cells(cells):
+    return cells if cells is None or isinstance(cells, EvenCells) else cells(_T)
 
 
 def _not_null(columns: list[str]) -> Column:
@@ -188,24 +198,29 @@ def sum_since_mark(
     effect to the day before the first later mark. So it adds its amount at the front of the run
     and takes it off behind the end, and a running sum over the days gives the result. That is at
     most two small rows per fact instead of one per fact and day. The first later mark of a fact is a
-    lookup on one axis of recording times. Facts without a time of recording or effect count nowhere.
+    lookup on one axis of recording times.
+
+    Only the facts that can count are shuffled: those recorded at or after the least mark of their key,
+    and those in effect on a day that has no mark. The first need both of their times, the others the
+    time of effect alone.
     """
-    facts = facts.filter(_not_null([recorded, effective]))
     marked = points.filter(F.col(since).isNotNull())
     # As many entries per key as it has marks, which is at most its number of days.
     marks = marked.groupBy(*on, since).agg(F.min(day).alias("first_day"))
-    runs = marks.groupBy(*on).agg(F.min("first_day").alias("__first"))
+    runs = marks.groupBy(*on).agg(F.min("first_day").alias("__first"), F.min(since).alias("__least"))
     effect = F.to_date(F.col(effective))
+    # The least mark of all keys reaches the scan of the facts, that of a key their join.
+    since_least = F.col(recorded) >= runs.select(F.min("__least")).scalar()
+    recent = facts.filter(_not_null([recorded, effective]) & since_least)
+    recent = salted_join(recent, runs, on, fact_id).filter(F.col(recorded) >= F.col("__least"))
     # Facts of one time of recording and one day of effect are alike: one row for all of them.
-    alike = facts.groupBy(*on, F.col(recorded).alias(_T), effect.alias("__effect")).agg(F.sum(amount).alias("__amount"))
+    alike = recent.groupBy(*on, F.col(recorded).alias(_T), effect.alias("__effect"), "__first").agg(F.sum(amount).alias("__amount"))
     axis = alike.withColumn(_SIDE, F.lit(1)).unionByName(
         marks.select(*on, F.col(since).alias(_T), "first_day").withColumn(_SIDE, F.lit(0)), allowMissingColumns=True
     )
-    located = scan(
-        axis, on, [_T, _SIDE], {"__until": running_last(F.col("first_day"))}, time_cells(_T, "day"), reverse=True
-    ).filter(F.col(_SIDE) == 1)
     located = (
-        salted_join(located.select(*on, _T, "__effect", "__amount", "__until"), runs, on, _T)
+        scan(axis, on, [_T, _SIDE], {"__until": running_last(F.col("first_day"))}, EvenCells(), reverse=True)
+        .filter(F.col(_SIDE) == 1)
         .withColumn("__from", F.greatest("__effect", "__first"))
         .filter(F.col("__until").isNull() | (F.col("__from") < F.col("__until")))
     )
@@ -233,7 +248,11 @@ def sum_since_mark(
         .filter(F.col(_SIDE) == 1)
         .select(*on, F.col(_T).alias(day), "__run")
     )
-    on_day = facts.groupBy(*on, effect.alias(day)).agg(F.sum(amount).alias("__day"))
+    # Days without a mark: the facts of these days alone.
+    bare = points.filter(F.col(since).isNull()).select(*on, F.col(day).cast("date").alias(day))
+    ends = bare.agg(F.min(day).alias("__low"), F.date_add(F.max(day), 1).alias("__high"))
+    within = (F.col(effective) >= ends.select("__low").scalar()) & (F.col(effective) < ends.select("__high").scalar())
+    on_day = facts.filter(within).groupBy(*on, effect.alias(day)).agg(F.sum(amount).alias("__day"))
     total = F.when(F.col(since).isNull(), F.col("__day")).otherwise(F.col("__run"))
     return (
         points.join(since_mark, [*on, day], "left")

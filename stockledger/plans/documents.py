@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockledger.functions.dates import as_timestamp, date_fmt
 from stockledger.functions.text import text_before
 from stockledger.operators.joins import prefix_join
-from stockledger.operators.scan import fill_gaps, time_cells
+from stockledger.operators.scan import EvenCells, fill_gaps
 from stockledger.operators.stage import staged
 from stockledger.operators.temporal import first_match_join
 from stockledger.sources.catalog import Catalog
@@ -84,9 +84,8 @@ def gap_fill_number(catalog: Catalog, start, end) -> DataFrame:
     """``document_status`` in order of time with every missing number filled in: the last number
     before it plus its distance or, before the first number, the next one less its distance.
 
-    The order is one sequence over all users. It is cut by day and minute, so only the totals per
-    day ever meet in one task. Rows of the same time
-    share their group and their distance; the numbers around them follow the order of their other
+    The order is one sequence over all users, cut into cells of equal size however crowded a day or
+    a minute is. Rows of the same time share their group and their distance; the numbers around them follow the order of their other
     columns. A number that is there is passed on as text as it is, digits or not; one counted up from
     a number that is not digits is NULL.
     """
@@ -97,7 +96,7 @@ def gap_fill_number(catalog: Catalog, start, end) -> DataFrame:
     ]
     filled = fill_gaps(
         documents, [], order, "DeliveryNoteNumber",
-        cells=time_cells("LoggingTimeStamp", "day", "minute"), peers=["LoggingTimeStamp"],
+        cells=EvenCells(), peers=["LoggingTimeStamp"],
     )
 
     def number(column):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockledger.functions.dates import in_year
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import contra_accounts
-from stockledger.operators.scan import order_cells, running_total
+from stockledger.operators.scan import EvenCells, running_total
 from stockledger.operators.stage import staged
 from stockledger.sources.catalog import Catalog
 
@@ -103,7 +103,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
     entries = headers.join(booked, F.col("V_Id") == F.col("VR_VoucherId"), "left").withColumn(
         "DifferenceInCompanyCurrency", difference
     )
-    # The running sum needs the totals per account and day first; they need no texts.
+    # Where the rows of an account are many, their counts and totals come first; they need no texts.
     amounts = (
         vouchers.select("V_Id", "V_VoucherDate")
         .join(per_account, F.col("V_Id") == F.col("VR_VoucherId"), "left")
@@ -116,7 +116,7 @@ def general_ledger(catalog: Catalog, year=None, currency: str = "IDR") -> DataFr
         ["V_VoucherDate", "V_Id"],
         "DifferenceInCompanyCurrency",
         "CumulativeTotalDifference",
-        cells=order_cells(["V_VoucherDate", "V_Id"], "day"),
+        cells=EvenCells(),
         basis=amounts,
     )
     opening = opening_balance(catalog, year).withColumnRenamed("AccountId", "opening_account")

@@ -10,7 +10,7 @@ from stockledger.functions.labels import MANUFACTURING_STATUS, code_label
 from stockledger.functions.numbers import differs, not_below_zero
 from stockledger.functions.text import json_field, looks_like_json
 from stockledger.operators.joins import not_in_scope, siblings
-from stockledger.operators.scan import order_cells, running_total
+from stockledger.operators.scan import EvenCells, running_total
 from stockledger.operators.stage import staged
 from stockledger.operators.temporal import first_match
 from stockledger.sources.catalog import Catalog
@@ -108,7 +108,7 @@ def reported_below_estimate(
         ["LastReportingDate", "MOM_Id"],
         "DifferenceReportedQuantity",
         total,
-        cells=order_cells(["LastReportingDate", "MOM_Id"], "day", "minute"),
+        cells=EvenCells(),
     )
     return summed.select(
         "LastReportingDate",

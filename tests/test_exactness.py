@@ -100,14 +100,31 @@ def test_parquet_without_a_column_is_an_error(spark, tmp_path):
         Catalog.from_parquet(spark, str(tmp_path)).table("Account")
 
 
-def test_facts_without_times_count_nowhere(spark):
+def test_days_without_a_mark_need_the_time_of_effect_alone(spark):
+    """Marked days leave out facts without either time; other days take whatever is in effect on them."""
     t = datetime(2024, 1, 5)
     points = spark.createDataFrame([("a", date(2024, 1, 5), t), ("a", date(2024, 1, 6), None)], "k string, day date, since timestamp")
     facts = [(1, "a", None, t, 7), (2, "a", t, None, 50), (3, "a", t + timedelta(hours=1), t, 1), (4, "a", None, t + timedelta(days=1), 9)]
     got = temporal.sum_since_mark(
         points, spark.createDataFrame(facts, "id long, k string, rec timestamp, eff timestamp, n long"), ["k"], "day", "since", "id", "rec", "eff", "n", "total"
     )
-    assert rows(got, "day", "total") == [(date(2024, 1, 5), 1), (date(2024, 1, 6), 0)]
+    assert rows(got, "day", "total") == [(date(2024, 1, 5), 1), (date(2024, 1, 6), 9)]
+
+
+def test_facts_before_the_least_mark_are_not_shuffled(spark, no_broadcast, tmp_path):
+    t = datetime(2024, 1, 5)
+    facts = [(i, "ab"[i % 2], t - timedelta(days=i), t - timedelta(days=i), 1) for i in range(1, 301)] + [(0, "a", t + timedelta(hours=1), t, 5)]
+    spark.createDataFrame(facts, "id long, k string, rec timestamp, eff timestamp, n long").write.parquet(str(tmp_path / "facts"))
+    table = spark.read.parquet(str(tmp_path / "facts"))
+    points = spark.createDataFrame([("a", date(2024, 1, 5), t), ("b", date(2024, 1, 5), None)], "k string, day date, since timestamp")
+    got = temporal.sum_since_mark(points, table, ["k"], "day", "since", "id", "rec", "eff", "n", "total")
+    assert rows(got, "k", "total") == [("a", 5), ("b", 0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Every scan of the facts filters by a bound found at run time, below its exchange.
+    below = [line for line in plan.split("== Initial Plan ==")[-1].split("\n") if "FileScan" in line and "rec" in line or "eff#" in line and "FileScan" in line]
+    assert below and all("subquery" in line for line in below)
+    asked = [line for line in plan.split("\n") if "Filter" in line and "Subquery" in line.title()]
+    assert len(asked) >= 2
 
 
 def test_every_value_of_a_field_gives_a_row(spark):

@@ -31,6 +31,9 @@ CELLS = {
     "day and minute": lambda: scan.time_cells("at", "day", "minute"),
     "time and id": lambda: scan.order_cells(["at", "far"]),
     "day, time and id": lambda: scan.order_cells(["at", "far"], "day"),
+    "even": lambda: scan.EvenCells(20),
+    "even, few": lambda: scan.EvenCells(20, 3),
+    "even, of small keys": lambda: scan.EvenCells(10_000),
 }
 
 
@@ -90,6 +93,72 @@ def test_rows_of_a_hot_key_are_spread(ledger):
     assert hot > 300 and largest < hot / 3
 
 
+def _groups(df, keys, order, even):
+    """Rows of each (key, cell) group that a window would get."""
+    cuts = even.cuts(df, keys, order)
+    if cuts is None:
+        return [r[0] for r in df.groupBy(*keys).count().select("count").collect()]
+    frame, keys = (df, keys) if keys else (scan._one_key(df, order), [scan._ALL])
+    return [r[0] for r in cuts.placed(frame, keys, order).groupBy(*keys, "__cell").count().select("count").collect()]
+
+
+def test_even_cells_cut_a_key_where_its_rows_are(spark):
+    """A third of all rows in one second of one key; the rest over a year and many keys."""
+    second = F.timestamp_seconds(F.lit(1_700_000_000) + F.rand(3))
+    year = F.timestamp_seconds(F.lit(1_690_000_000) + F.rand(4) * 31_000_000)
+    df = spark.range(90_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 500).alias("key"), F.when(F.col("id") % 3 == 0, second).otherwise(year).alias("at")
+    )
+    found = _groups(df, ["key"], ["at", "id"], scan.EvenCells(1_000))
+    assert sum(found) == 90_000 and max(found) < 2_500 and len(found) < 500 + 60
+    # One sequence over all rows, and one whose ids alone tell the rows apart.
+    assert max(_groups(df, [], ["at", "id"], scan.EvenCells(2_000))) < 0.05 * 90_000
+    assert max(_groups(df.withColumn("at", F.lit(0)), [], ["at", "id"], scan.EvenCells(2_000))) < 0.05 * 90_000
+    # No more cells than asked for: they hold more rows instead.
+    assert len(_groups(df, [], ["at", "id"], scan.EvenCells(100, 20))) <= 21 + 5
+    # Keys of few rows stay whole.
+    assert len(_groups(df, ["key"], ["at", "id"], scan.EvenCells())) == 501
+
+
+def test_even_cells_take_null_orders_and_keys(spark):
+    data = [(i, None if i % 4 == 0 else i % 7, None if i % 5 == 0 else i % 11, i % 3) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, key long, at long, amount long")
+    for reverse in (False, True):
+        got = scan.scan(df, ["key"], ["at", "id"], {"total": scan.running_sum(F.col("amount"))}, scan.EvenCells(10), reverse)
+        by = [F.col(c).desc() if reverse else F.col(c) for c in ("at", "id")]
+        window = Window.partitionBy("key").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+        assert rows(got, "id", "total") == rows(df.withColumn("total", F.sum("amount").over(window)), "id", "total")
+
+
+def test_exclusive_scan_leaves_out_the_row_itself(spark):
+    df = spark.createDataFrame([(i, i * i) for i in range(60)], "id long, n long")
+    for cells in (None, scan.EvenCells(5)):
+        got = scan.scan(df, [], ["id"], {"before": scan.running_sum(F.col("n"))}, cells, inclusive=False)
+        assert sorted(map(tuple, got.select("id", "before").collect())) == [(i, sum(k * k for k in range(i)) if i else None) for i in range(60)]
+
+
+def test_fill_gaps_over_crowded_points(spark):
+    """Islands and steps by points of time, numbers by the whole order; few points of many rows each."""
+    dice = random.Random(4)
+    data = [(i, i % 9, str(i) if dice.random() < 0.3 else None) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, at long, number string")
+    plain = Window.orderBy("at", "id").rowsBetween(Window.unboundedPreceding, 0)
+    named, missing = F.when(F.col("number").isNull(), 0).otherwise(1), F.when(F.col("number").isNull(), 1).otherwise(0)
+    ranged = Window.orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    want = df.withColumns({"island": F.sum(named).over(ranged), "previous_number": F.last("number", True).over(plain)})
+    want = want.withColumn("next_number", F.last("number", True).over(Window.orderBy(F.desc("at"), F.desc("id")).rowsBetween(Window.unboundedPreceding, 0)))
+    inside = Window.partitionBy("island")
+    want = want.withColumns(
+        {
+            "steps_after": F.when(F.col("number").isNull(), F.sum(missing).over(inside.orderBy("at").rangeBetween(Window.unboundedPreceding, 0))),
+            "steps_before": F.when(F.col("number").isNull(), F.sum(missing).over(inside.orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, 0))),
+        }
+    )
+    columns = ["id", "island", "previous_number", "next_number", "steps_after", "steps_before"]
+    for cells in (None, scan.EvenCells(30)):
+        assert rows(scan.fill_gaps(df, [], ["at", "id"], "number", cells, peers=["at"]), *columns) == rows(want, *columns)
+
+
 def test_fill_forward_and_backward(spark):
     data = [(1, None), (2, "a"), (3, None), (4, None), (5, "b"), (6, None)]
     df = spark.createDataFrame(data, "id long, number string").withColumn("cell", F.floor(F.col("id") / 2))
