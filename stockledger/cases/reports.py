@@ -11,6 +11,9 @@ from stockledger.sources.demo import demo_catalog, role
 
 # --- general ledger ------------------------------------------------------------------------
 
+# Dates of the test tables are midnight in UTC, so west of it they fall on the day, and month, before.
+_WEST, _WEST_SQL = "-05:00", "- interval 5 hour"
+
 _OPENING = """
 select b.AccountId, coalesce(sum(ob.DebitInCompanyCurrency - ob.CreditInCompanyCurrency), 0) as OpeningBalance
 from t_Balance b left join t_OpeningBalance ob on ob.Id = b.OpeningBalanceId
@@ -270,6 +273,32 @@ def stock_value_month_case(spark, sf_dir):
     return stock.stock_value_month_case(demo_catalog(spark, sf_dir), 1997)
 
 
+@case(
+    "s:PartNumber s:LocationName " + " ".join(f"n:{m}_stocks n:{m}_amounts" for m in stock.MONTHS),
+    """
+with west as (select *, DeliveryDate - interval 5 hour as local from t_InventoryMovement),
+counts as (
+  select PartId, LocationName, PhysicalInventoryBalance as n, month(local) as m, coalesce((
+      select max_by(NewPrice, Timestamp) from t_PriceChangeLog l where l.PartId = c.PartId and l.PriceType = 0
+        and l.Timestamp - interval 5 hour < cast(c.local as date) + interval 1 day), 0) as price,
+    bool_or(WarehouseId = 1) over (partition by PartId, LocationName, month(local)) as own
+  from west c where BusinessTransactionContextType = 4 and year(local) = 1997
+  qualify row_number() over (partition by PartId, LocationName, month(local) order by DeliveryDate desc, LoggingTimeStamp desc, Id desc) = 1),
+valued as (
+  select p.* from t_Part p join t_ProductGroup g on g.Id = p.ProductGroupId
+  where p.Status <> 9 and p.CategoryString not like 'E%' and p.CategoryString not like 'M%' and p.Type in (0, 1)
+    and (g.Number <> '024' or g.Number is null))
+select p.PartNumber, c.LocationName, """
+    + ", ".join(
+        f"coalesce(sum(n) filter (m = {i}), 0) as {m}_stocks, coalesce(sum(n * c.price) filter (m = {i}), 0) as {m}_amounts"
+        for i, m in enumerate(stock.MONTHS, 1)
+    )
+    + " from counts c join valued p on p.Id = c.PartId where own group by p.PartNumber, c.LocationName",
+)
+def stock_value_month_zone(spark, sf_dir):
+    return stock.stock_value_month(demo_catalog(spark, sf_dir, _WEST), 1997)
+
+
 # --- movements -----------------------------------------------------------------------------
 
 _JSON = """
@@ -534,6 +563,20 @@ def outstanding_by_period(spark, sf_dir):
     return orders.outstanding_by_period(demo_catalog(spark, sf_dir))
 
 
+@case(
+    "s:PartNumber i:CustomerOrderRowCount i:CustomerCommitmentLevel s:DeliveryPeriod n:RestQuantity",
+    f"""
+select p.PartNumber, count(distinct r.Id) as CustomerOrderRowCount, r.CustomerCommitmentLevel,
+  strftime(r.DeliveryDate {_WEST_SQL}, '%Y-%m') as DeliveryPeriod, sum(r.RestQuantity) as RestQuantity
+from t_CustomerOrderRow r join t_CustomerOrder o on o.Id = r.ParentOrderId and o.LifeCycleState <> 99
+left join t_Customer c on c.Id = o.BusinessContactId join t_Part p on p.Id = r.PartId and p.Status <> 9
+where r.LifeCycleState <> 99 and r.Status <> 9 and r.CustomerCommitmentLevel in (1, 4)
+group by p.Id, p.PartNumber, c.Id, r.CustomerCommitmentLevel, strftime(r.DeliveryDate {_WEST_SQL}, '%Y-%m')""",
+)
+def outstanding_by_period_zone(spark, sf_dir):
+    return orders.outstanding_by_period(demo_catalog(spark, sf_dir, _WEST))
+
+
 _STATUS = "case {0} when 1 then 'Registered' when 5 then 'Partial delivery made' when 9 then 'Final delivery made' else 'Unknown' end"
 
 
@@ -635,13 +678,13 @@ def forecast_detail(spark, sf_dir):
 
 _PLAN_COLUMNS = (
     "s:CustomerCode s:CustomerFullName s:CustomerOrderNumber s:PartNumber s:PartName s:PartDescription s:CustomerPartNumber "
-    "n:PlannedQuantity s:UnitCode s:CurrencyCode n:PriceEach n:TotalPrice t:DeliveryDate s:PriceChangeUserBy t:PriceChangeDate s:CreatedBy"
+    "n:PlannedQuantity s:UnitCode s:CurrencyCode s:PriceEach s:TotalPrice t:DeliveryDate s:PriceChangeUserBy t:PriceChangeDate s:CreatedBy"
 )
 
 _PLAN_SCHEDULED = """
 select CustomerCode, concat(CustomerCode, ' - ', Name) as CustomerFullName, CustomerOrderNumber, PartNumber, max(Description) as PartName,
   max(ExtraDescription) as PartDescription, CustomerPartNumber, cast(sum(Quantity) as decimal(28,4)) as PlannedQuantity, UnitCode, CurrencyCode,
-  cast(price as decimal(28,8)) as PriceEach, cast(price as decimal(20,8)) * cast(sum(Quantity) as decimal(17,4)) as TotalPrice, DeliveryDate,
+  cast(price as decimal(38,16)) as PriceEach, cast(price as decimal(24,16)) * cast(sum(Quantity) as decimal(14,4)) as TotalPrice, DeliveryDate,
   max(UserCode) as PriceChangeUserBy, changed as PriceChangeDate, 'EDI' as CreatedBy
 from (
   select cr.CustomerCode, cr.Name, b.CustomerOrderNumber, p.PartNumber, p.Description, p.ExtraDescription, l.CustomerPartNumber, b.Quantity,
@@ -666,8 +709,8 @@ with calls as (
 
 _PLAN_ORDERED = """
 select cr.CustomerCode, concat(cr.CustomerCode, ' - ', cr.Name), o.BusinessContactOrderNumber, p.PartNumber, p.Description, p.ExtraDescription,
-  l.CustomerPartNumber, cast(r.OrderedQuantity as decimal(28,4)), uc.Text, 'IDR', cast(r.Price * o.ExchangeRate as decimal(28,8)),
-  cast(r.Price * o.ExchangeRate as decimal(20,8)) * cast(r.OrderedQuantity as decimal(17,4)), r.DeliveryDate, cast(null as varchar), cast(null as timestamp),
+  l.CustomerPartNumber, cast(r.OrderedQuantity as decimal(28,4)), uc.Text, 'IDR', cast(r.Price * cast(o.ExchangeRate as decimal(19,12)) as decimal(38,16)),
+  cast(r.Price * cast(o.ExchangeRate as decimal(19,12)) as decimal(24,16)) * cast(r.OrderedQuantity as decimal(14,4)), r.DeliveryDate, cast(null as varchar), cast(null as timestamp),
   (select min(h.ModifiedBy) from t_EntityChangeLog h where h.EntityId = o.Id and h.ChangeType = 1
      and h.EntityTypeId = '9A008BAB-1814-43EC-AFA5-4E42A5C3B36C')
 from t_CustomerOrder o join t_CustomerOrderRow r on r.ParentOrderId = o.Id join t_Currency cu on cu.Id = o.CurrencyId

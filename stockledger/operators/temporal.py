@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockledger.functions.dates import day_of, day_start
 from stockledger.operators.joins import salted_join
 from stockledger.operators.scan import EvenCells, running_last, running_max, running_sum, scan
 
@@ -189,9 +190,10 @@ def sum_since_mark(
     effective: str,
     amount: str,
     out: str,
+    zone: str | None = None,
 ) -> DataFrame:
     """Per key and day: the sum of the facts recorded at or after the day's mark and in effect by
-    the end of the day. Days without a mark sum the facts in effect on that day only.
+    the end of the day (of ``zone``, else the session's). Days without a mark sum the facts in effect on that day only.
 
     ``points`` is unique per key and day and its mark ``since`` never goes back as the days go on,
     which an as-of lookup guarantees. A fact then counts on one run of days: from the day it takes
@@ -208,7 +210,7 @@ def sum_since_mark(
     # As many entries per key as it has marks, which is at most its number of days.
     marks = marked.groupBy(*on, since).agg(F.min(day).alias("first_day"))
     runs = marks.groupBy(*on).agg(F.min("first_day").alias("__first"), F.min(since).alias("__least"))
-    effect = F.to_date(F.col(effective))
+    effect = day_of(F.col(effective), zone)
     # The least mark of all keys reaches the scan of the facts, that of a key their join.
     since_least = F.col(recorded) >= runs.select(F.min("__least")).scalar()
     recent = facts.filter(_not_null([recorded, effective]) & since_least)
@@ -250,7 +252,7 @@ def sum_since_mark(
     )
     # Days without a mark: the facts of these days alone.
     bare = points.filter(F.col(since).isNull()).select(*on, F.col(day).cast("date").alias(day))
-    ends = bare.agg(F.min(day).alias("__low"), F.date_add(F.max(day), 1).alias("__high"))
+    ends = bare.agg(day_start(F.min(day), zone).alias("__low"), day_start(F.date_add(F.max(day), 1), zone).alias("__high"))
     within = (F.col(effective) >= ends.select("__low").scalar()) & (F.col(effective) < ends.select("__high").scalar())
     on_day = facts.filter(within).groupBy(*on, effect.alias(day)).agg(F.sum(amount).alias("__day"))
     total = F.when(F.col(since).isNull(), F.col("__day")).otherwise(F.col("__run"))

@@ -25,7 +25,7 @@ def document_status(catalog: Catalog, start, end) -> DataFrame:
     movement = catalog.table("InventoryMovement")
     deliveries = movement.filter(
         (F.col("BusinessTransactionContextType") == DELIVERY_CODE)
-        & F.col("LoggingTimeStamp").between(as_timestamp(start), as_timestamp(end))
+        & F.col("LoggingTimeStamp").between(as_timestamp(start, catalog.zone), as_timestamp(end, catalog.zone))
     ).select("LoggingTimeStamp", "UserName", "DeliveryDate", "QuantityChangeId", "UndoMovementId", "OrderNumber")
     # Only what the period's deliveries name is read on: their undo movements and their document rows.
     undo_ids = deliveries.filter(F.col("UndoMovementId").isNotNull()).select(F.col("UndoMovementId").alias("Id")).distinct()
@@ -45,7 +45,7 @@ def document_status(catalog: Catalog, start, end) -> DataFrame:
         catalog.table("UndoReportingLog")
         .filter(F.col("Type") == UNDONE_DELIVERY_LOG)
         .groupBy(
-            date_fmt(F.col("LoggingTimeStamp"), STAMP).alias("log_second"),
+            date_fmt(F.col("LoggingTimeStamp"), STAMP, catalog.zone).alias("log_second"),
             text_before(F.col("EntityIndentity"), "/").alias("log_document"),
             F.col("UserName").alias("log_user"),
         )
@@ -57,7 +57,7 @@ def document_status(catalog: Catalog, start, end) -> DataFrame:
         F.col("DeliveryNoteNumber").alias("ReplacedDeliveryNoteNumber"),
     )
     logged = prefix_join(
-        numbered.withColumn("UndoLoggingTime", date_fmt(F.col("undo_logged"), STAMP)),
+        numbered.withColumn("UndoLoggingTime", date_fmt(F.col("undo_logged"), STAMP, catalog.zone)),
         log,
         "OrderNumber",
         "log_entity",
@@ -65,7 +65,7 @@ def document_status(catalog: Catalog, start, end) -> DataFrame:
         how="left",
     ).join(replaced, F.col("log_entity") == F.col("replaced_key"), "left")
     grouped = (
-        logged.withColumn("LoggingTime", date_fmt(F.col("LoggingTimeStamp"), STAMP))
+        logged.withColumn("LoggingTime", date_fmt(F.col("LoggingTimeStamp"), STAMP, catalog.zone))
         .groupBy(
             "LoggingTime", "UndoLoggingTime", "UserName", "UndoUserName", "DeliveryNoteNumber",
             "ReplacedDeliveryNoteNumber", "DeliveryDate",

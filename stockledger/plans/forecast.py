@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.dates import in_days, month_of
+from stockledger.functions.dates import day_of, in_days, month_of
 from stockledger.functions.labels import SCHEDULE_STATUS, code_label
+from stockledger.functions.numbers import exact_price, exact_total
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import list_distinct
 from stockledger.operators.stage import staged
@@ -67,7 +68,7 @@ def forecast_by_period(catalog: Catalog, strict: bool = False) -> DataFrame:
         .join(catalog.table("Part").select(F.col("Id").alias("DSP_PartId")), "DSP_PartId", "left_semi")
         .join(orders, F.col("CO_OrderNumber") == F.col("TR_OrderNumber"))
         .join(rows, exists, "left_semi")
-        .withColumn("ForecastPeriod", month_of(F.col("DSC_DeliveryDate")))
+        .withColumn("ForecastPeriod", month_of(F.col("DSC_DeliveryDate"), catalog.zone))
         .groupBy("DSP_ParentId", "CO_BusinessContactId", "ForecastPeriod")
         .agg(
             F.min("DSC_Id").alias("FirstDeliveryScheduleCallId"),
@@ -196,7 +197,7 @@ PLAN_COLUMNS = [
 
 def _scheduled(catalog: Catalog, start, end) -> DataFrame:
     calls = catalog.aliased("DeliveryScheduleCall", "DSC").filter(
-        (F.col("DSC_DemandType") == FORECAST) & in_days(F.col("DSC_DeliveryDate"), start, end)
+        (F.col("DSC_DemandType") == FORECAST) & in_days(F.col("DSC_DeliveryDate"), start, end, catalog.zone)
     )
     schedules = (
         calls.join(catalog.aliased("DeliverySchedulePart", "DSP"), F.col("DSC_ParentId") == F.col("DSP_Id"))
@@ -221,7 +222,7 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
         .select(
             F.col("PCL_PartId").alias("DSP_PartId"),
             F.col("PCL_CustomerId").alias("DS_CustomerId"),
-            F.to_date("PCL_Timestamp").alias("price_day"),
+            day_of(F.col("PCL_Timestamp"), catalog.zone).alias("price_day"),
             F.col("PCL_Timestamp").alias("PriceChangeDate"),
             F.col("PCL_NewPrice").alias("price"),
             F.col("NC_Code").alias("CurrencyCode"),
@@ -229,7 +230,7 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
         )
     )
     priced = asof_join(
-        summed.withColumn("delivery_day", F.to_date("DSC_DeliveryDate")),
+        summed.withColumn("delivery_day", day_of(F.col("DSC_DeliveryDate"), catalog.zone)),
         prices,
         ["DSP_PartId", "DS_CustomerId"],
         "delivery_day",
@@ -246,7 +247,7 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
         F.col("DSC_DeliveryDate").alias("DeliveryDate"),
         "UnitCode",
         "CurrencyCode",
-        F.col("price").cast("decimal(38,8)").alias("PriceEach"),
+        F.col("price").cast("decimal(38,16)").alias("PriceEach"),
         "PriceChangeDate",
     ).agg(
         F.max("P_Description").alias("PartName"),
@@ -273,7 +274,7 @@ def _ordered(catalog: Catalog, start, end, warehouse: int, currency: str) -> Dat
         & F.col("COR_PartId").isNotNull()
         & F.col("COR_FreeText").isNull()
         & (F.col("COR_LifeCycleState") != DELETED)
-        & in_days(F.col("COR_DeliveryDate"), start, end)
+        & in_days(F.col("COR_DeliveryDate"), start, end, catalog.zone)
     )
     creators = first_match(
         catalog.table("EntityChangeLog").filter((F.col("ChangeType") == CREATED) & (F.col("EntityTypeId") == ORDER_ENTITY)),
@@ -302,7 +303,7 @@ def _ordered(catalog: Catalog, start, end, warehouse: int, currency: str) -> Dat
             F.col("COR_OrderedQuantity").alias("PlannedQuantity"),
             "UnitCode",
             F.lit(currency).alias("CurrencyCode"),
-            (F.col("COR_Price") * F.col("CO_ExchangeRate")).cast("decimal(38,8)").alias("PriceEach"),
+            exact_price(F.col("COR_Price"), F.col("CO_ExchangeRate")).alias("PriceEach"),
             F.col("COR_DeliveryDate").alias("DeliveryDate"),
             F.lit(None).cast("string").alias("PriceChangeUserBy"),
             F.lit(None).cast("timestamp").alias("PriceChangeDate"),
@@ -312,8 +313,7 @@ def _ordered(catalog: Catalog, start, end, warehouse: int, currency: str) -> Dat
 
 
 def _totalled(df: DataFrame) -> DataFrame:
-    # An exact product of 38 digits; amounts too large for it are an error, not a rounded value.
-    total = F.col("PriceEach").cast("decimal(20,8)") * F.col("PlannedQuantity").cast("decimal(17,4)")
+    total = exact_total(F.col("PriceEach"), F.col("PlannedQuantity"))
     return df.withColumn("TotalPrice", total).select(*PLAN_COLUMNS)
 
 

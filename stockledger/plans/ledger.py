@@ -28,7 +28,7 @@ def opening_balance(catalog: Catalog, year=None) -> DataFrame:
         current = _years(catalog, year).select(F.col("AY_Id").alias("AccountingYearId"))
         opened = periods.join(current, "AccountingYearId", "left_semi")
     else:
-        opened = periods.filter(in_year(F.col("FromDate"), int(year)))
+        opened = periods.filter(in_year(F.col("FromDate"), int(year), catalog.zone))
     balances = catalog.table("Balance").join(opened, "AccountingYearId", "left_semi")
     openings = catalog.table("OpeningBalance").withColumnRenamed("Id", "OpeningBalanceId")
     amount = F.col("DebitInCompanyCurrency") - F.col("CreditInCompanyCurrency")

@@ -39,11 +39,11 @@ def reported_below_estimate(
     What was reported on crushed material of the same order node counts as reported too: the crushed
     row's own quantity, where the report this follows repeats that of the raw material's row.
     """
-    until = F.current_timestamp() if as_of is None else as_timestamp(as_of)
+    until = F.current_timestamp() if as_of is None else as_timestamp(as_of, catalog.zone)
     # A last report in the period is one from its start on; the end bounds the maximum only.
     last_report = (
         catalog.table("ManufacturingOrderReporting")
-        .filter(F.col("ReportedWhen") >= as_timestamp(start))
+        .filter(F.col("ReportedWhen") >= as_timestamp(start, catalog.zone))
         .groupBy(F.col("OrderId").alias("reported_order"))
         .agg(F.max("ReportedWhen").alias("LastReportingDate"))
         .filter(F.col("LastReportingDate") <= until)
@@ -249,7 +249,7 @@ def reported_not_in_bom(catalog: Catalog, start, end) -> DataFrame:
     """Materials reported in a period that the main part's bill of materials does not list."""
     reported = (
         catalog.aliased("ManufacturingOrderReporting", "MOR", "Id", "OrderId", "ReportedWhen")
-        .filter(in_days(F.col("MOR_ReportedWhen"), start, end))
+        .filter(in_days(F.col("MOR_ReportedWhen"), start, end, catalog.zone))
         .join(catalog.aliased("ManufacturingOrderMaterialReporting", "MOMR"), F.col("MOR_Id") == F.col("MOMR_ReportingId"))
         .join(
             catalog.aliased("ManufacturingOrderMaterial", "MOM", "Id", "PartId", "ManufacturingOrderNodeId"),

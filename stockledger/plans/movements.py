@@ -212,7 +212,7 @@ def location_transactions(catalog: Catalog) -> DataFrame:
         F.col("P_Description").alias("PartName"),
         F.col("P_ExtraDescription").alias("PartDescription"),
         F.col("LoggingTimeStamp").alias("InventoryMovementLoggingTimeStamp"),
-        date_fmt(F.col("LoggingTimeStamp"), "hh:mm:ss").alias("InventoryMovementLoggingTimeStampTimePart"),
+        date_fmt(F.col("LoggingTimeStamp"), "hh:mm:ss", catalog.zone).alias("InventoryMovementLoggingTimeStampTimePart"),
         F.col("DeliveryDate").alias("InventoryMovementDeliveryDate"),
         F.col("LocationName").alias("InventoryMovementLocationName"),
         F.col("OrderNumber").alias("InventoryMovementOrderNumber"),

@@ -39,7 +39,7 @@ def outstanding_by_period(catalog: Catalog, levels=(FIXED_ORDER, FORECAST)) -> D
         _open_rows(catalog, levels)
         .join(orders, F.col("COR_ParentOrderId") == F.col("CO_Id"))
         .join(known, F.col("CO_BusinessContactId") == F.col("CustomerId"), "left")
-        .withColumn("DeliveryPeriod", month_of(F.col("COR_DeliveryDate")))
+        .withColumn("DeliveryPeriod", month_of(F.col("COR_DeliveryDate"), catalog.zone))
         .groupBy("CustomerId", level.alias("CustomerCommitmentLevel"), F.col("COR_PartId").alias("PartId"), "DeliveryPeriod")
         .agg(
             F.countDistinct("COR_Id").alias("CustomerOrderRowCount"),
@@ -126,6 +126,6 @@ def outstanding_with_schedule(catalog: Catalog, levels=(FIXED_ORDER, FORECAST))
         F.col("COR_Status").alias("RowOrderStatus"),
         code_label(F.col("COR_Status"), ORDER_STATUS, "Unknown").alias("RowOrderStatusText"),
         F.col("COR_DeliveryDate").alias("DeliveryDate"),
-        month_of(F.col("COR_DeliveryDate")).alias("DeliveryPeriod"),
+        month_of(F.col("COR_DeliveryDate"), catalog.zone).alias("DeliveryPeriod"),
         F.col("COR_RestQuantity").alias("RestQuantity"),
     ).orderBy("DeliveryDate")

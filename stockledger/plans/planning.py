@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.dates import as_date, in_days
+from stockledger.functions.dates import as_date, day_of, day_start, in_days
 from stockledger.functions.numbers import whole
 from stockledger.functions.text import concat_text
 from stockledger.operators.spine import with_days
@@ -66,8 +66,8 @@ def part_roles(catalog: Catalog, parts: DataFrame | None = None) -> DataFrame:
     return main.unionByName(linked).unionByName(parents).distinct()
 
 
-def _daily(df: DataFrame, part: str, day: str, amount: str, name: str, *more: Column) -> DataFrame:
-    return df.select(F.col(part).alias("part"), F.to_date(day).alias("day"), F.col(amount).alias(name), *more)
+def _daily(zone: str | None, df: DataFrame, part: str, day: str, amount: str, name: str, *more: Column) -> DataFrame:
+    return df.select(F.col(part).alias("part"), day_of(F.col(day), zone).alias("day"), F.col(amount).alias(name), *more)
 
 
 def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
     rows = catalog.aliased("CustomerOrderRow", "COR", "Id", "ParentOrderId", "PartId", "DeliveryDate", "OrderedQuantity", "LifeCycleState")
     customer = F.col("CO_BusinessContactId").alias("customer")
     ordered = (
-        rows.filter((F.col("COR_LifeCycleState") != DELETED) & in_days(F.col("COR_DeliveryDate"), start, end))
+        rows.filter((F.col("COR_LifeCycleState") != DELETED) & in_days(F.col("COR_DeliveryDate"), start, end, catalog.zone))
         .join(orders.filter(F.col("CO_LifeCycleState") != DELETED), F.col("COR_ParentOrderId") == F.col("CO_Id"))
     )
     changes = catalog.aliased("QuantityChange", "QC").filter(F.col("QC_Status").isin(DELIVERED_STATUS))
@@ -87,15 +87,15 @@ def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
         .filter(
             F.col("CODR_ParentRowId").isNull()
             & (F.col("CODR_AffectStockBalance") == 1)
-            & in_days(F.col("CODR_DeliveryDate"), start, end)
+            & in_days(F.col("CODR_DeliveryDate"), start, end, catalog.zone)
         )
         .join(invoices, "CODR_ParentInvoiceId", "left_semi")
         .join(changes, F.col("CODR_QuantityChangeId") == F.col("QC_Id"))
         .join(rows, F.col("CODR_CustomerOrderRowId") == F.col("COR_Id"))
         .join(orders, F.col("CODR_CustomerOrderId") == F.col("CO_Id"))
     )
-    both = _daily(ordered, "COR_PartId", "COR_DeliveryDate", "COR_OrderedQuantity", "ordered", customer).unionByName(
-        _daily(delivered, "COR_PartId", "CODR_DeliveryDate", "QC_BalanceChange", "delivered", customer),
+    both = _daily(catalog.zone, ordered, "COR_PartId", "COR_DeliveryDate", "COR_OrderedQuantity", "ordered", customer).unionByName(
+        _daily(catalog.zone, delivered, "COR_PartId", "CODR_DeliveryDate", "QC_BalanceChange", "delivered", customer),
         allowMissingColumns=True,
     )
     levels = F.array_distinct(F.array("customer", F.lit(None)))
@@ -107,14 +107,14 @@ def _sales(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
 
 def _supply(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
     """Suggested, made and arrived quantities of the given parts per day, from one aggregate."""
-    suggested = catalog.table("OrderOperationSuggestion").filter(in_days(F.col("PlannedFinishDate"), start, end))
+    suggested = catalog.table("OrderOperationSuggestion").filter(in_days(F.col("PlannedFinishDate"), start, end, catalog.zone))
     to_buy = catalog.table("OrderSuggestion").filter(
-        (F.col("TransType") == PURCHASE_SUGGESTION) & in_days(F.col("DeliveryDate"), start, end)
+        (F.col("TransType") == PURCHASE_SUGGESTION) & in_days(F.col("DeliveryDate"), start, end, catalog.zone)
     )
     nodes = catalog.aliased("ManufacturingOrderNode", "MON", "Id", "PartId")
     made = (
         catalog.aliased("ManufacturingOrderOperationReporting", "MOOR")
-        .filter(F.col("MOOR_Type").isin(MADE_TYPES) & in_days(F.col("MOOR_ActualReportedDate"), start, end))
+        .filter(F.col("MOOR_Type").isin(MADE_TYPES) & in_days(F.col("MOOR_ActualReportedDate"), start, end, catalog.zone))
         .join(
             catalog.aliased("ManufacturingOrderReporting", "MOR").filter(
                 (F.col("MOR_ReportingType") != UNDO_REPORTING) & F.col("MOR_UndoManufacturingOrderReportingId").isNull()
@@ -125,7 +125,7 @@ def _supply(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
     )
     arrived = (
         catalog.aliased("PurchaseOrderDeliveryRow", "PODR")
-        .filter(in_days(F.col("PODR_DeliveryDate"), start, end))
+        .filter(in_days(F.col("PODR_DeliveryDate"), start, end, catalog.zone))
         .join(
             catalog.table("PurchaseOrderDelivery").select(F.col("Id").alias("PODR_PurchaseOrderDeliveryId")),
             "PODR_PurchaseOrderDeliveryId",
@@ -141,10 +141,10 @@ def _supply(catalog: Catalog, start, end, parts: DataFrame) -> DataFrame:
         .join(catalog.aliased("QuantityChange", "QC"), F.col("PQ_QuantityChangeId") == F.col("QC_Id"))
     )
     measures = {
-        "to_make": _daily(suggested, "PartId", "PlannedFinishDate", "PlannedQuantity", "to_make"),
-        "made": _daily(made, "MON_PartId", "MOOR_ActualReportedDate", "MOOR_Quantity", "made"),
-        "to_buy": _daily(to_buy, "PartId", "DeliveryDate", "OrderedQuantity", "to_buy"),
-        "arrived": _daily(arrived, "POR_PartId", "PODR_DeliveryDate", "QC_BalanceChange", "arrived"),
+        "to_make": _daily(catalog.zone, suggested, "PartId", "PlannedFinishDate", "PlannedQuantity", "to_make"),
+        "made": _daily(catalog.zone, made, "MON_PartId", "MOOR_ActualReportedDate", "MOOR_Quantity", "made"),
+        "to_buy": _daily(catalog.zone, to_buy, "PartId", "DeliveryDate", "OrderedQuantity", "to_buy"),
+        "arrived": _daily(catalog.zone, arrived, "POR_PartId", "PODR_DeliveryDate", "QC_BalanceChange", "arrived"),
     }
     stacked = None
     for df in measures.values():
@@ -161,7 +161,7 @@ def order_plan(
     The parts are picked first and every measure is summed per part and day before it meets the
     calendar, so the days multiply only the few rows of the result.
     """
-    start, end = as_date(start), as_date(end)
+    zone, first, final = catalog.zone, as_date(start, catalog.zone), as_date(end, catalog.zone)
     parts = catalog.table("Part")
     if isinstance(part_numbers, DataFrame):
         parts = parts.join(part_numbers.select(F.col(part_numbers.columns[0]).alias("PartNumber")), "PartNumber", "left_semi")
@@ -170,23 +170,23 @@ def order_plan(
     roles = part_roles(catalog, parts)
     plan = with_days(
         parts.select(F.col("Id").alias("PartId"), "PartNumber", "Description", "ExtraDescription").join(roles, "PartId"),
-        as_date(start),
-        as_date(end),
+        first,
+        final,
     ).withColumn("sold_part", F.coalesce("MainPartId", "PartId"))
 
     wanted = roles.select(F.coalesce("MainPartId", "PartId").alias("part")).distinct()
     sold = _sales(catalog, start, end, wanted).withColumnsRenamed({"part": "s_part", "customer": "s_customer", "day": "s_day"})
     supply = _supply(catalog, start, end, parts.select(F.col("Id").alias("part")))
 
-    days = with_days(parts.select(F.col("Id").alias("PartId")), as_date(start), as_date(end))
+    days = with_days(parts.select(F.col("Id").alias("PartId")), first, final)
     movement = catalog.table("InventoryMovement").join(
         parts.select(F.col("Id").alias("PartId")), "PartId", "left_semi"
     )
-    after = F.date_add(as_date(end), 1).cast("timestamp")
+    after = day_start(F.date_add(final, 1), zone)
     # Of all days before the first, only the last row matters: they count as one day.
-    before = F.date_sub(as_date(start), 1)
+    before = F.date_sub(first, 1)
     balances = movement.filter(F.col("LoggingTimeStamp") < after).select(
-        "PartId", "LoggingTimeStamp", "Id", F.greatest(F.to_date("LoggingTimeStamp"), before).alias("logged_day"),
+        "PartId", "LoggingTimeStamp", "Id", F.greatest(day_of(F.col("LoggingTimeStamp"), zone), before).alias("logged_day"),
         F.col("BalanceOnPartAfterChange").alias("last_balance"),
     )
     with_balance = asof_join(
@@ -194,7 +194,7 @@ def order_plan(
     )
     movement = movement.filter(F.col("DeliveryDate") < after)
     counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE).select(
-        "PartId", "LoggingTimeStamp", "Id", F.greatest(F.to_date("DeliveryDate"), before).alias("count_day"),
+        "PartId", "LoggingTimeStamp", "Id", F.greatest(day_of(F.col("DeliveryDate"), zone), before).alias("count_day"),
         F.col("LoggingTimeStamp").alias("counted_at"), F.col("BalanceOnPartAfterChange").alias("counted_balance"),
     )
     with_count = asof_max_by(
@@ -208,7 +208,7 @@ def order_plan(
     )
     on_stock = sum_since_mark(
         with_count, changes, ["PartId"], "day", "counted_at", "Id", "LoggingTimeStamp", "DeliveryDate", "BalanceChange",
-        "moved",
+        "moved", zone,
     )
 
     is_main = F.col("IsMain") == 1

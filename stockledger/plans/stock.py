@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockledger.functions.dates import as_timestamp, date_fmt, in_days, in_year, month_of, title_month
+from stockledger.functions.dates import as_date, as_timestamp, date_fmt, day_of, day_start, in_days, in_year, month_of, title_month
 from stockledger.functions.numbers import to_unit
 from stockledger.operators.aggs import pivot_measures, signed_sums, sum_by_group
 from stockledger.operators.joins import attribute_lookup, salted_join
@@ -95,15 +95,16 @@ def stock_rollforward(
     """
     if variant not in ("cte", "join", "apply"):
         raise ValueError("variant is 'cte', 'join' or 'apply'")
-    first, last = as_timestamp(start), as_timestamp(end)
-    last_day = F.date_trunc("day", last)
+    zone = catalog.zone
+    first, last = as_timestamp(start, zone), as_timestamp(end, zone)
+    last_day = day_start(as_date(last, zone), zone)
     effective, logged = F.col("DeliveryDate"), F.col("LoggingTimeStamp")
     movement = catalog.table("InventoryMovement")
 
     if variant == "cte":
         before_start = effective.between(first - F.expr("interval 7 days"), first)
         opening = _last_counts(movement, before_start, "opening")
-        ending = _last_counts(movement, in_days(effective, last_day, last_day), "end")
+        ending = _last_counts(movement, in_days(effective, last_day, last_day, zone), "end")
         upper = last_day
     else:
         opening = _last_counts(movement, effective == first - F.expr("interval 1 day"), "opening")
@@ -161,11 +162,11 @@ def stock_rollforward(
             .groupBy("PartId")
             .agg(F.max(F.struct("Timestamp", "NewPrice"))["NewPrice"].alias("price"))
         )
-        return _in_units(stock.join(prices, "PartId", "left"), currency)
-    return _in_stock_units(stock, variant)
+        return _in_units(stock.join(prices, "PartId", "left"), currency, zone)
+    return _in_stock_units(stock, variant, zone)
 
 
-def _in_units(stock: DataFrame, currency: str) -> DataFrame:
+def _in_units(stock: DataFrame, currency: str, zone: str | None) -> DataFrame:
     factor = F.col("PUU_ConversionFactor")
     counted = F.col("end_logged").isNotNull()
     balance, price = F.coalesce("end_balance", F.lit(0)), F.coalesce("price", F.lit(0))
@@ -203,8 +204,8 @@ def _in_units(stock: DataFrame, currency: str) -> DataFrame:
     return stock.select(
         *_part_columns(),
         "OpeningStock",
-        date_fmt(F.col("opening_logged"), STAMP).alias("OpeningStockCountLoggingDate"),
-        date_fmt(F.col("opening_date"), STAMP).alias("OpeningStockCountDate"),
+        date_fmt(F.col("opening_logged"), STAMP, zone).alias("OpeningStockCountLoggingDate"),
+        date_fmt(F.col("opening_date"), STAMP, zone).alias("OpeningStockCountDate"),
         "BackDateReceiptBalance",
         "BackDateIssueBalance",
         *sums,
@@ -214,13 +215,13 @@ def _in_units(stock: DataFrame, currency: str) -> DataFrame:
         F.lit(currency).alias("Currency"),
         "StandardPrice",
         "Amount",
-        date_fmt(F.col("end_logged"), STAMP).alias("EndStockCountLoggingDate"),
-        date_fmt(F.col("end_date"), STAMP).alias("EndStockCountDate"),
+        date_fmt(F.col("end_logged"), STAMP, zone).alias("EndStockCountLoggingDate"),
+        date_fmt(F.col("end_date"), STAMP, zone).alias("EndStockCountDate"),
         "UnitName",
     )
 
 
-def _in_stock_units(stock: DataFrame, variant: str) -> DataFrame:
+def _in_stock_units(stock: DataFrame, variant: str, zone: str | None) -> DataFrame:
     sums = ("BackDateReceiptBalance", "BackDateIssueBalance", "ReceiptBalance", "IssueBalance")
     stock = stock.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in sums})
     end_stock = F.col("opening_balance")
@@ -231,14 +232,14 @@ def _in_stock_units(stock: DataFrame, variant: str) -> DataFrame:
     return stock.select(
         *_part_columns(),
         F.col("opening_balance").alias("OpeningStock"),
-        date_fmt(F.col("opening_logged"), STAMP).alias("OpeningStockCountLoggingDate"),
-        date_fmt(F.col("opening_date"), STAMP).alias("OpeningStockCountDate"),
+        date_fmt(F.col("opening_logged"), STAMP, zone).alias("OpeningStockCountLoggingDate"),
+        date_fmt(F.col("opening_date"), STAMP, zone).alias("OpeningStockCountDate"),
         *sums,
         "EndStock",
         (F.coalesce("end_balance", "EndStock") - F.col("EndStock")).alias("AdjustmentBalance"),
         F.coalesce(F.col("end_balance"), fallback).alias("ActualEndStock"),
-        date_fmt(F.col("end_logged"), STAMP).alias("EndStockCountLoggingDate"),
-        date_fmt(F.col("end_date"), STAMP).alias("EndStockCountDate"),
+        date_fmt(F.col("end_logged"), STAMP, zone).alias("EndStockCountLoggingDate"),
+        date_fmt(F.col("end_date"), STAMP, zone).alias("EndStockCountDate"),
         "UnitName",
     )
 
@@ -260,25 +261,25 @@ def _month_end_counts(catalog: Catalog, year: int, warehouse: int) -> DataFrame:
     aggregate, so the counts are shuffled once.
     """
     counts = catalog.table("InventoryMovement").filter(
-        (F.col("BusinessTransactionContextType") == COUNT_CODE) & in_year(F.col("DeliveryDate"), year)
+        (F.col("BusinessTransactionContextType") == COUNT_CODE) & in_year(F.col("DeliveryDate"), year, catalog.zone)
     )
     last = F.max(F.struct("DeliveryDate", "LoggingTimeStamp", "Id", "PhysicalInventoryBalance"))
     month_end = (
-        counts.withColumn("month", month_of(F.col("DeliveryDate")))
+        counts.withColumn("month", month_of(F.col("DeliveryDate"), catalog.zone))
         .groupBy(*PLACE, "month")
         .agg(last.alias("last"), F.max(F.col("WarehouseId") == warehouse).alias("in_warehouse"))
         .filter("in_warehouse")
         .select(
             *PLACE,
-            title_month(F.col("last.DeliveryDate")).alias("month"),
-            F.to_date("last.DeliveryDate").alias("day"),
+            title_month(day_of(F.col("last.DeliveryDate"), catalog.zone)).alias("month"),
+            day_of(F.col("last.DeliveryDate"), catalog.zone).alias("day"),
             F.col("last.PhysicalInventoryBalance").alias("balance"),
         )
     )
     prices = (
         catalog.table("PriceChangeLog")
         .filter(F.col("PriceType") == STANDARD_PRICE)
-        .select("PartId", "Timestamp", "NewPrice", F.to_date("Timestamp").alias("price_day"))
+        .select("PartId", "Timestamp", "NewPrice", day_of(F.col("Timestamp"), catalog.zone).alias("price_day"))
     )
     priced = asof_join(month_end, prices, ["PartId"], "day", "price_day", ["NewPrice"], tie=["Timestamp"], dedupe=False)
     return priced.withColumn("price", F.coalesce("NewPrice", F.lit(0))).withColumn(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockledger.functions.dates import day_start
 from stockledger.sources.schema import TABLES, table_schema
 
 
@@ -17,15 +18,23 @@ class Catalog:
     ``loader(name)`` returns the raw DataFrame of a table. Only declared columns are kept, so a
     report never reads more of a wide table than the schema lists, and Spark prunes the rest of
     what the report leaves unused. A column the source does not have is an error unless
-    ``fill_missing`` is set, in which case it reads as NULL. Decimals of more digits than declared are
+    ``fill_missing`` is set, in which case it reads as NULL. Decimals and doubles of more digits than declared are
     an error too, when a value has such digits: nothing is rounded. ``workdir`` is a folder that all
-    executors share; reports that read a result several times then write it there once.
+    executors share; reports that read a result several times then write it there once. ``zone`` (such as
+    ``+07:00`` or ``Europe/Berlin``) is the time zone of the reports' days, months, years and clock times; without
+    it that is the session's. Columns of dates are the start of their day there.
     """
 
     def __init__(
-        self, spark: SparkSession, loader: Callable[[str], DataFrame], fill_missing: bool = False, workdir: str | None = None
+        self,
+        spark: SparkSession,
+        loader: Callable[[str], DataFrame],
+        fill_missing: bool = False,
+        workdir: str | None = None,
+        zone: str | None = None,
     ):
         self.spark = spark
+        self.zone = zone
         self.workdir = workdir
         self._loader = loader
         self._fill_missing = fill_missing
@@ -60,6 +69,8 @@ class Catalog:
                     columns.append(F.lit(None).cast(wanted).alias(field.name))
                 elif have[field.name.lower()] == wanted.simpleString():
                     columns.append(F.col(field.name).alias(field.name))
+                elif self.zone and have[field.name.lower()] == "date" and isinstance(wanted, T.TimestampType):
+                    columns.append(day_start(F.col(field.name), self.zone).alias(field.name))
                 else:
                     columns.append(_exact(F.col(field.name), have[field.name.lower()], wanted).alias(field.name))
             self._tables[name] = raw.select(*columns)
@@ -73,12 +84,24 @@ class Catalog:
 
 
 def _exact(column: Column, have: str, wanted: T.DataType) -> Column:
-    """A cast to the declared type that fails where it would drop digits of a decimal."""
+    """A cast to the declared type that fails where it would drop digits of a number.
+
+    A double or float is the decimal it is written as: its cast back must give it again, but for the
+    last bits, in which sums and products of such numbers differ anyway.
+    """
     narrowed = column.cast(wanted)
-    if not have.startswith("decimal") or not isinstance(wanted, T.DecimalType):
+    if not isinstance(wanted, T.DecimalType):
         return narrowed
-    precision, scale = map(int, have[len("decimal(") : -1].split(","))
-    if scale <= wanted.scale and precision - scale <= wanted.precision - wanted.scale:
+    if have in ("double", "float"):
+        if have == "float":
+            column = column.cast("string").cast("double")
+        fits = F.abs(column.try_cast(wanted).cast("double") - column) <= F.abs(column) * 2.0**-50
+    elif have.startswith("decimal"):
+        precision, scale = map(int, have[len("decimal(") : -1].split(","))
+        if scale <= wanted.scale and precision - scale <= wanted.precision - wanted.scale:
+            return narrowed
+        fits = column == column.try_cast(wanted)
+    else:
         return narrowed
-    fits = F.coalesce(column == column.try_cast(wanted), F.lit(False)) | column.isNull()
+    fits = F.coalesce(fits, F.lit(False)) | column.isNull()
     return F.when(fits, column.try_cast(wanted)).otherwise(F.raise_error(F.concat(F.lit(f"not a {wanted.simpleString()}: "), column.cast("string"))).cast(wanted))

@@ -78,7 +78,7 @@ select o_orderkey as Id, concat('O', cast(o_orderkey as varchar(20))) as OrderNu
   cast(o_orderdate as timestamp) as OrderDate, case o_orderstatus when 'O' then 1 when 'P' then 5 else 9 end as Status,
   case when o_orderpriority = '5-LOW' then 99 else 1 end as LifeCycleState,
   concat('PO', cast(o_custkey as varchar(20))) as BusinessContactOrderNumber,
-  cast(case when o_orderstatus = 'P' then 1.25 else 1 end as decimal(18,4)) as ExchangeRate, o_custkey % 5 as CurrencyId
+  cast(case when o_orderkey % 7 = 0 then 0.000061300007 when o_orderstatus = 'P' then 1.25 else 1 end as decimal(24,12)) as ExchangeRate, o_custkey % 5 as CurrencyId
 from {orders}""",
     "CustomerOrderDeliveryRow": """
 select case when event_id % 4 = 0 then null else event_id end as InvoiceId, event_id as ParentInvoiceId,
@@ -413,10 +413,10 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return demo_frame(spark, sf_dir, ROLES[name])
 
 
-def demo_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """The business tables; results read several times go to the shared folder, where the session names one."""
+def demo_catalog(spark: SparkSession, sf_dir: str, zone: str | None = None) -> Catalog:
+    """The business tables, reported in ``zone``; results read several times go to the shared folder, where the session names one."""
     workdir = spark.conf.get("spark.checkpoint.dir", None)
-    return Catalog(spark, lambda name: demo_frame(spark, sf_dir, TABLES[name]), fill_missing=True, workdir=workdir)
+    return Catalog(spark, lambda name: demo_frame(spark, sf_dir, TABLES[name]), fill_missing=True, workdir=workdir, zone=zone)
 
 
 def check_sql(body: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_reports import _part, at, frames
 
 from stockledger import Catalog
+from stockledger.functions import numbers
 from stockledger.operators import joins, scan, temporal
 from stockledger.plans import documents, ledger, materials, planning
 
@@ -94,6 +95,28 @@ def test_digits_that_do_not_fit_are_an_error(spark):
         table.select("Price").collect()
 
 
+def test_doubles_are_not_rounded(spark):
+    source = spark.createDataFrame([(1, 0.1 + 0.2), (2, 1.2345e-13), (3, float("nan")), (4, None), (5, 1e200)], "Id long, ExchangeRate double")
+    table = Catalog.from_frames(spark, {"CustomerOrder": source}, fill_missing=True).table("CustomerOrder")
+    assert table.filter("Id in (1, 4)").orderBy("Id").select("ExchangeRate").collect() == [(D("0.3"),), (None,)]
+    for odd in (2, 3, 5):
+        with pytest.raises(Exception, match="not a decimal"):
+            table.filter(f"Id = {odd}").select("ExchangeRate").collect()
+    single = spark.createDataFrame([(1, 0.1)], "Id long, ExchangeRate float")
+    assert Catalog.from_frames(spark, {"CustomerOrder": single}, fill_missing=True).table("CustomerOrder").first()["ExchangeRate"] == D("0.1")
+
+
+def test_prices_and_totals_keep_all_digits(spark):
+    data = [(D("12.3456"), D("0.0000613"), D("1000000")), (D("-12.3456"), D("1234567.890123456789"), D("-99999999.9999")), (D("0"), D("1"), D("5")), (None, D("1"), D("5"))]
+    df = spark.createDataFrame(data, "price decimal(18,4), rate decimal(24,12), quantity decimal(28,4)")
+    each = df.withColumn("each", numbers.exact_price(F.col("price"), F.col("rate")))
+    got = each.withColumn("total", numbers.exact_total(F.col("each"), F.col("quantity"))).select("each", "total").collect()
+    assert [tuple(r) for r in got] == [(D("0.00075678528"), D("756.78528")), (data[1][0] * data[1][1], data[1][0] * data[1][1] * data[1][2]), (0, 0), (None, None)]
+    wide = spark.createDataFrame([(D("10000000"),)], "rate decimal(24,12)").select(numbers.exact_price(F.lit(D("1.0000")), F.col("rate")))
+    with pytest.raises(Exception, match="not a decimal"):
+        wide.collect()
+
+
 def test_parquet_without_a_column_is_an_error(spark, tmp_path):
     spark.createDataFrame([(1,)], "Id long").write.parquet(str(tmp_path / "Account"))
     with pytest.raises(ValueError, match="Number"):
