@@ -8,7 +8,8 @@ bounds the Jaccard similarity of a contained item from below (0.2), and a MinHas
 values then misses it with a probability under 1e-6. Every match is verified by its exact shingles.
 
 Words are runs of characters other than ASCII white space and punctuation, of the lower-cased text.
-Shingles are five words; a text of fewer words is one shingle.
+Shingles are five words. Items of one to four words are partitions of their own: each is one shingle of as
+many words, and documents are searched for these words in a row.
 
 The benchmark is the query set: its signatures go to all tasks in blocks of bounded size, one pass
 over the documents each. Documents are never shuffled.
@@ -50,7 +51,8 @@ class _Shingles:
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         self.data, rows = data, len(offsets) - 1
         self.starts, self.ends, owner = W.word_bounds(data, offsets, SEPARATORS)
-        hashes = W.word_hashes(data, self.starts, self.ends)
+        self.owner, self.words = owner, W.word_hashes(data, self.starts, self.ends)
+        hashes = self.words
         self.word_first = np.searchsorted(owner, np.arange(rows + 1))
         grams = W.gram_hashes(hashes, SHINGLE_WORDS)
         whole = owner[: len(grams)] == owner[SHINGLE_WORDS - 1 :] if len(grams) else np.zeros(0, bool)
@@ -65,6 +67,10 @@ class _Shingles:
     def of(self, row: int) -> np.ndarray:
         return self.values[self.first[row] : self.first[row + 1]]
 
+    def phrase(self, first: int, n: int) -> bytes:
+        """The n words from a word on."""
+        return b" ".join(self.data[self.starts[i] : self.ends[i]].tobytes() for i in range(first, first + n))
+
     def exact(self, row: int) -> set[bytes]:
         """The row's shingles themselves."""
         at = range(self.word_first[row], self.word_first[row + 1])
@@ -80,15 +86,22 @@ class Items:
     def __init__(self, ids: list, texts: list[str | None]) -> None:
         self.ids, self.exact, hashes = [], [], []
         by_size: dict[int, list[int]] = {}
+        brief: dict[int, list[tuple[int, int]]] = {}
         for first, data, offsets in W.column_slices(_lowered(pa.array(texts, pa.string()))):
             found = _Shingles(data, offsets)
             for row in range(len(offsets) - 1):
-                if len(found.of(row)):
+                n_words = int(found.word_first[row + 1] - found.word_first[row])
+                if 0 < n_words < SHINGLE_WORDS:
+                    brief.setdefault(n_words, []).append((W.gram_hashes(found.words[found.word_first[row] : found.word_first[row + 1]], n_words)[0], len(self.ids)))
+                elif n_words:
                     by_size.setdefault(1 << int(len(found.of(row)) - 1).bit_length(), []).append(len(self.ids))
+                if n_words:
                     self.ids.append(ids[first + row])
                     self.exact.append(found.exact(row))
                     hashes.append(np.unique(found.of(row)))
         self.hashes = hashes
+        #: Of items of n words, below the length of a shingle: their sorted hashes and places.
+        self.brief = {n: (np.array([h for h, _ in x], np.uint64), np.array([i for _, i in x])) for n, x in ((n, sorted(x)) for n, x in brief.items())}
         # size: for each hash function, sorted values and the item of each.
         self.signatures: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for size, members in sorted(by_size.items()):
@@ -121,10 +134,27 @@ class Items:
                     found.update((int(owners[hit]), int(x)) for x in items[at[hit] : last])
         return found
 
+    def phrases(self, shingles: _Shingles) -> set[tuple[int, int]]:
+        """Pairs (row, item) of items of fewer words than a shingle that stand in a row of words."""
+        found: set[tuple[int, int]] = set()
+        for n, (sought, items) in self.brief.items():
+            grams = W.gram_hashes(shingles.words, n)
+            at = np.searchsorted(sought, grams)
+            hits = np.flatnonzero((sought[np.minimum(at, len(sought) - 1)] == grams) & (shingles.owner[: len(grams)] == shingles.owner[n - 1 :][: len(grams)]))
+            # Of a hash that a row has many times, one occurrence is read.
+            _, once = np.unique(np.stack([shingles.owner[hits], at[hits]]), axis=1, return_index=True)
+            for hit in hits[once]:
+                phrase = shingles.phrase(hit, n)
+                last = np.searchsorted(sought, grams[hit], "right")
+                found.update((int(shingles.owner[hit]), int(i)) for i in items[at[hit] : last] if phrase in self.exact[i])
+        return found
+
     def matches(self, texts: pa.Array, threshold: float) -> Iterator[tuple[int, int, int]]:
         """(row, item, shared shingles) of all matches in a column of texts."""
         for first, data, offsets in W.column_slices(_lowered(texts)):
             shingles = _Shingles(data, offsets)
+            for row, item in sorted(self.phrases(shingles)) if self.brief else ():
+                yield first + row, item, 1
             kept: tuple[int, set[bytes]] = (-1, set())
             for row, item in sorted(self.candidates(shingles)):
                 need = threshold * len(self.exact[item]) - 1e-9
@@ -158,16 +188,14 @@ def _halvings(owners: np.ndarray, least: int, most: int) -> list[tuple[int, np.n
     return plans
 
 
-def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", most: int = ITEMS_PER_PASS, most_bytes: int = ITEM_BYTES_PER_PASS) -> list[Items]:
-    """The benchmark in blocks of about ``most`` items and ``most_bytes``, each small enough for every task."""
+def item_blocks(items: DataFrame, id_col: str = "item_id", text_col: str = "text", most: int = ITEMS_PER_PASS, most_bytes: int = ITEM_BYTES_PER_PASS) -> Iterator[Items]:
+    """The benchmark in blocks of about ``most`` items and ``most_bytes``, each small enough for every task; the driver holds one at a time."""
     rows = items.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-n // most), -(-size // most_bytes))
-    found = []
     for block in range(blocks):
         part = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
-        found.append(Items([x["id"] for x in part], [x["text"] for x in part]))
-    return found
+        yield Items([x["id"] for x in part], [x["text"] for x in part])
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -142,9 +142,11 @@ with texts as (
   select 'd' as side, doc_id as id, text from documents union all select 'b', item_id, text from benchmark),
 words as (
   select side, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{_SEPARATORS}'), lambda x: x <> '') as w from texts),
+brief as (select distinct len(w) as n from words where side = 'b' and len(w) between 1 and 4),
 shingles as (
-  select distinct side, id, unnest(case when len(w) between 1 and 4 then [array_to_string(w, ' ')]
-    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as shingle from words where len(w) > 0),
+  select distinct side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as shingle from words where len(w) >= 5
+  union select side, id, array_to_string(w, ' ') from words where side = 'b' and len(w) between 1 and 4
+  union select distinct side, id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) from words join brief on len(w) >= n where side = 'd'),
 sizes as (select id, count(*) as n from shingles where side = 'b' group by id)
 select d.id as doc_id, b.id as item_id, any_value(s.n) as n_shingles, count(*) as n_shared, count(*) / any_value(s.n) as containment
 from shingles d join shingles b on b.shingle = d.shingle and b.side = 'b' join sizes s on s.id = b.id

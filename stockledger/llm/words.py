@@ -3,7 +3,9 @@
 A word is a maximal run of bytes other than the separators. All functions take the UTF-8 bytes of
 many texts at once; UTF-8 keeps the separators (ASCII) apart from the bytes of other characters.
 Hashes are 64 bits: random values of the bytes, weighted by powers of an odd number and mixed. Two
-``seed`` values give independent hashes, together 128 bits.
+``seed`` values give independent hashes, together 128 bits. Such sums are weak for long sequences (from
+about a thousand values on, two that follow the Thue-Morse pattern agree for every odd number), so
+words of more than ``LONG_WORD`` bytes are hashed by XXH64, and n-grams are meant for short n.
 """
 
 from __future__ import annotations
@@ -13,11 +15,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 # ASCII white space, space and 09 to 0D.
 WHITE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 
 SLICE_BYTES = 1 << 20
+LONG_WORD = 64
 
 
 def column_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -107,7 +111,10 @@ _WORD_BASES = (0xC2B2AE3D27D4EB4F, 0x94D049BB133111EB)
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    return mixed(_weighted_sums(_byte_values(seed)[data], starts, ends, _BYTE_BASES[seed]))
+    found = mixed(_weighted_sums(_byte_values(seed)[data], starts, ends, _BYTE_BASES[seed]))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        found[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]].tobytes(), seed)
+    return found
 
 
 def gram_hashes(words: np.ndarray, n: int, seed: int = 0) -> np.ndarray:

@@ -44,6 +44,14 @@ def test_remove_repeats_equals_brute_force(spark, edge_texts, window, kmer):
     assert sorted(map(tuple, got.collect())) == want
 
 
+def test_words_of_like_sums_are_told_apart(spark):
+    """Two documents that differ in one long word, a run of a and b in Thue-Morse order, share no window."""
+    runs = ["".join("ab"[(i.bit_count() + flip) % 2] for i in range(2_048)) for flip in (0, 1)]
+    texts = [" ".join([f"w{i}" for i in range(25)] + [run] + [f"w{i}" for i in range(25, 49)]) for run in runs]
+    got = substrings.remove_repeats(frame(spark, texts), with_text=False)
+    assert [(r.n_words, r.n_removed) for r in got.collect()] == [(50, 0), (50, 0)]
+
+
 def test_remove_repeats_with_repeated_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(40))
     got = substrings.remove_repeats(frame(spark, [text, text, "other words", None], [5, 5, None, None]), with_text=False)

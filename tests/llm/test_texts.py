@@ -83,21 +83,31 @@ def plain_shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
+def holds(item, text):
+    """Whether a text has 0.8 of an item's five-word shingles, or an item of fewer words in a row."""
+    split = lambda x: re.findall(r"[^\x00-\x20!-/:-@\[-`{-~]+", (x or "").lower())
+    words, inside = split(item), split(text)
+    if len(words) < 5:
+        return any(inside[i : i + len(words)] == words for i in range(len(inside) - len(words) + 1)) if words else False
+    sought = plain_shingles(item)
+    return len(sought & plain_shingles(text)) >= 0.8 * len(sought)
+
+
 def test_leaks_equal_exact_containment(spark):
     rng = np.random.default_rng(2)
     word = lambda: f"w{rng.integers(0, 400)}"
-    items = [" ".join(word() for _ in range(n)) for n in (3, 5, 6, 9, 15, 22, 40, 59, 130)] + [None, "", "...", "Déjà vu, this is it"]
-    texts = [None, "", "w1 w2", items[0]]
+    items = [" ".join(word() for _ in range(n)) for n in (3, 5, 6, 9, 15, 22, 40, 59, 130)] + [None, "", "...", "Déjà vu, this is it", "Rare!", "two words", "two words", "w7", "one of four, words"]
+    texts = [None, "", "w1 w2", items[0], "RARE", "a rare two  words", "two, words two words", "two wordss", "it is one of four words here", "one of four", "y " * 2_000 + "rare"]
     for item in items[1:9]:
         words = item.split()
         for cut in (0, 1, len(words) // 10, len(words) // 4, len(words) // 2):
             filler = [word() for _ in range(int(rng.integers(0, 900)))]
             at = int(rng.integers(0, len(filler) + 1))
             texts.append(" ".join([*filler[:at], *words[cut:], *filler[at:]]))
-    texts += ["x DÉJÀ vu this, is IT y", texts[10], texts[10]]
+    texts += ["x DÉJÀ vu this, is IT y", texts[14], texts[14]]
     docs = frame(spark, texts)
     bench = spark.createDataFrame([(i, x, 1) for i, x in enumerate(items)], "item_id int, text string, doc_id int")
-    want = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if (s := plain_shingles(x)) and len(s & plain_shingles(t)) >= 0.8 * len(s)}
+    want = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if plain_shingles(x) and holds(x, t)}
     got = decontaminate.find_leaks(docs, bench)
     assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) > 20
     kept = decontaminate.drop_leaks(docs, bench)
