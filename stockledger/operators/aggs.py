@@ -6,12 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def list_distinct(column: Column, separator: str = ", ", quote: str = "") -> Column:
-    """Distinct values as sorted text, e.g. ``'a', 'b'``. NULL if there is none.
+def list_distinct(column: Column, separator: str = ", ", quote: str = "", array: bool = False) -> Column:
+    """Distinct values as sorted text, e.g. ``'a', 'b'``, or with ``array`` as a sorted array of the values
+    themselves. NULL if there is none.
 
     Duplicates are removed in every task before the shuffle, so what reaches the final row is
     only what the text shows.
     """
+    if array:
+        values = F.array_sort(F.collect_set(column))
+        return F.when(F.size(values) > 0, values)
     text = column.cast("string")
     if quote:
         text = F.when(text.isNotNull(), F.concat(F.lit(quote), text, F.lit(quote)))

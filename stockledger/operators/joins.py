@@ -14,21 +14,23 @@ def or_join(
 ) -> DataFrame:
     """Inner join on ``l1 = r1 OR l2 = r2 ...`` (column names must differ between the sides).
 
-    Spark runs an OR condition as a nested loop. This is one hash or merge join per alternative;
-    a pair that an earlier alternative already gave is left out of the later ones. ``also`` are
-    equalities that hold in every alternative.
+    Spark runs an OR condition as a nested loop. Here every row stands once for each alternative whose key
+    it has, and one join on (alternative, key) finds the pairs, so both sides are read once. A pair that an
+    earlier alternative gives is left out of the later ones. ``also`` are equalities that hold in every
+    alternative. A hot key is split by adaptive execution, as nothing is grouped behind the join.
     """
-    common = [F.col(a) == F.col(b) for a, b in also or []]
-    branches = []
-    for i, (a, b) in enumerate(either):
-        branch = left.join(right, [F.col(a) == F.col(b), *common], "inner")
-        for c, d in either[:i]:
-            branch = branch.filter(~F.coalesce(F.col(c) == F.col(d), F.lit(False)))
-        branches.append(branch)
-    result = branches[0]
-    for branch in branches[1:]:
-        result = result.unionByName(branch)
-    return result
+
+    def keyed(df: DataFrame, keys: list[str], side: str) -> DataFrame:
+        present = F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.lit(i)) for i, k in enumerate(keys)]))
+        named = df.withColumn(f"__{side}", F.explode(present))
+        return named.withColumns({f"__{side}{i}": F.when(F.col(f"__{side}") == i, F.col(k)) for i, k in enumerate(keys)})
+
+    a, b = keyed(left, [x for x, _ in either], "a"), keyed(right, [y for _, y in either], "b")
+    same = [F.col("__a") == F.col("__b"), *[F.col(f"__a{i}").eqNullSafe(F.col(f"__b{i}")) for i in range(len(either))]]
+    same += [F.col(x) == F.col(y) for x, y in also or []]
+    for i, (x, y) in enumerate(either[:-1]):
+        same.append((F.col("__a") <= i) | ~F.coalesce(F.col(x) == F.col(y), F.lit(False)))
+    return a.join(b, same, "inner").select(*left.columns, *right.columns)
 
 
 def prefix_join(
@@ -65,10 +67,25 @@ def typed_lookup(
     Each target is (table, its key column, type codes); the table's other columns are added. The
     key counts as NULL for other types, so no match is tried for them, and these rows are spread over
     the tasks of the join by a hash of all their columns.
+
+    The targets are one relation keyed by (target, key), so ``df`` is shuffled once. Types that point to
+    several targets, or targets that share a column name, take a join for each target.
     """
-    for table, table_key, codes in targets:
-        df = spread_left_join(df, table, F.when(F.col(type_code).isin(codes), F.col(key)), table_key).drop(table_key)
-    return df
+    codes = [c for _, _, own in targets for c in own]
+    added = [c for table, table_key, _ in targets for c in table.columns if c != table_key]
+    if len(targets) < 2 or len(set(codes)) < len(codes) or len(set(added)) < len(added):
+        for table, table_key, own in targets:
+            df = spread_left_join(df, table, F.when(F.col(type_code).isin(own), F.col(key)), table_key).drop(table_key)
+        return df
+    tagged = None
+    for i, (table, table_key, _) in enumerate(targets):
+        own = table.select(F.lit(i).alias("__target"), F.col(table_key).alias("__found"), *[c for c in table.columns if c != table_key])
+        tagged = own if tagged is None else tagged.unionByName(own, allowMissingColumns=True)
+    which = F.coalesce(*[F.when(F.col(type_code).isin(own), F.lit(i)) for i, (_, _, own) in enumerate(targets)])
+    hit = F.when(which.isNotNull(), F.col(key))
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("int") + len(targets)
+    asked = df.withColumns({"__hit": hit, "__tag": F.when(hit.isNotNull(), which).otherwise(spread)})
+    return asked.join(tagged, (F.col("__hit") == F.col("__found")) & (F.col("__tag") == F.col("__target")), "left").select(*df.columns, *added)
 
 
 def spread_left_join(df: DataFrame, table: DataFrame, hit: Column, table_key: str, parts: int = 4096) -> DataFrame:

@@ -117,3 +117,46 @@ def test_outer_apply_group_gives_a_null_row(spark):
 def test_siblings_are_ordered_pairs(spark):
     members = spark.createDataFrame([(1, "h"), (2, "h"), (3, "k"), (4, None)], "part long, holder string")
     assert rows(joins.siblings(members, "holder", "part", "other"), "part", "other") == [(1, 2), (2, 1)]
+
+
+def test_or_join_reads_each_side_once_and_keeps_types(spark, no_broadcast, tmp_path):
+    """Three alternatives of different types, NULL keys, a pair that all of them give, and repeated rows."""
+    left = [(1, "a", 5, 2.0), (2, None, 5, None), (3, "b", None, 2.5), (4, None, None, None), (5, "a", 5, 2.0), (5, "a", 5, 2.0)]
+    right = [(10, "a", 5, 2), (11, "x", 5, 9), (12, "b", None, 2), (13, None, None, None), (14, "a", 6, 7)]
+    spark.createDataFrame(left, "id long, l1 string, l2 int, l3 double").write.parquet(str(tmp_path / "l"))
+    spark.createDataFrame(right, "rid long, r1 string, r2 long, r3 int").write.parquet(str(tmp_path / "r"))
+    a, b = spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+    got = joins.or_join(a, b, [("l1", "r1"), ("l2", "r2"), ("l3", "r3")])
+    want = [(i, r) for i, l1, l2, l3 in left for r, r1, r2, r3 in right if (l1 and l1 == r1) or (l2 and l2 == r2) or (l3 and l3 == r3)]
+    assert sorted(map(tuple, got.select("id", "rid").collect())) == sorted(want)
+    assert got.columns == [*a.columns, *b.columns]
+    plan = plan_of(got)
+    assert plan.count("FileScan") == 2 and plan.count("SortMergeJoin") == 1 and "NestedLoop" not in plan
+    also = joins.or_join(a, b, [("l1", "r1"), ("l3", "r3")], also=[("l2", "r2")])
+    assert sorted(map(tuple, also.select("id", "rid").collect())) == [(1, 10), (5, 10), (5, 10)]
+
+
+def test_typed_lookup_is_one_join(spark, no_broadcast):
+    df = spark.createDataFrame([(i, f"N{i % 5}", i % 4) for i in range(40)], "id long, number string, code int")
+    sales = spark.createDataFrame([(f"N{i}", f"sale {i}") for i in range(3)], "s_number string, sale string")
+    buys = spark.createDataFrame([(f"N{i}", f"buy {i}") for i in (2, 3, 3)], "b_number string, buy string")
+    targets = [(sales, "s_number", [0, 9]), (buys, "b_number", [1])]
+    got = joins.typed_lookup(df, "number", "code", targets)
+    assert plan_of(got).count("SortMergeJoin") == 1 and got.columns == [*df.columns, "sale", "buy"]
+    want = []
+    for i in range(40):
+        n, code = i % 5, i % 4
+        sale, buy = f"sale {n}" if code == 0 and n < 3 else None, f"buy {n}" if code == 1 and n in (2, 3) else None
+        want += [(i, sale, buy)] * (2 if buy and n == 3 else 1)
+    assert sorted(map(tuple, got.select("id", "sale", "buy").collect()), key=str) == sorted(want, key=str)
+    # A type that points to two targets is looked up in both.
+    both = joins.typed_lookup(df, "number", "code", [(sales, "s_number", [0]), (buys, "b_number", [0])])
+    assert both.filter("id = 12").select("sale", "buy").collect() == [("sale 2", "buy 2")]
+
+
+def test_lists_as_arrays(spark):
+    from stockledger.operators.aggs import list_distinct
+
+    df = spark.createDataFrame([(1, 10), (1, 9), (1, 10), (2, None)], "k long, n int")
+    got = df.groupBy("k").agg(list_distinct(F.col("n")).alias("text"), list_distinct(F.col("n"), array=True).alias("values"))
+    assert {r.k: (r.text, r["values"]) for r in got.collect()} == {1: ("10, 9", [9, 10]), 2: (None, None)}
