@@ -58,10 +58,11 @@ from v_comment""",
 )
 def json_comment(spark, sf_dir):
     raw = F.col("raw_text")
-    return role(spark, sf_dir, "v_comment").select(
+    comments = text.with_json_fields(role(spark, sf_dir, "v_comment"), "raw_text", {"order_number": "OrderNumber", "comment": "Comment"})
+    return comments.select(
         "comment_id",
-        text.json_field(raw, "OrderNumber").alias("order_number"),
-        text.json_field(raw, "Comment").alias("comment"),
+        "order_number",
+        "comment",
         text.looks_like_json(raw).cast("int").alias("json_shaped"),
         text.has_braces(raw).cast("int").alias("braces"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,6 +46,23 @@ def json_field(text: Column, name: str) -> Column:
     return F.when(present, F.coalesce(parsed, quoted))
 
 
+def with_json_fields(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
+    """``json_field`` of several keys of the column ``text``, added as ``{new column: key}``.
+
+    The text is parsed once, into a variant of which the keys are read; text that does not parse is read as
+    ``json_field`` reads it.
+    """
+    raw = F.col(text)
+    shaped = F.when(raw.contains("{"), raw)
+    parsed = df.withColumn("__json", F.try_parse_json(shaped))
+    fields = {}
+    for out, name in names.items():
+        quoted = F.regexp_extract(raw, f'"{re.escape(name)}":"([^"]*)"', 1)
+        read = F.try_variant_get(F.col("__json"), f"$['{name}']", "string")
+        fields[out] = F.when(raw.contains(f'"{name}":"'), F.coalesce(read, quoted))
+    return parsed.withColumns(fields).drop("__json")
+
+
 def looks_like_json(text: Column) -> Column:
     """Starts with an opening and ends with a closing brace."""
     return text.like("{%}")

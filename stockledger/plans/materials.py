@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stockledger.functions.dates import as_timestamp, in_days
 from stockledger.functions.labels import MANUFACTURING_STATUS, code_label
 from stockledger.functions.numbers import differs, not_below_zero
-from stockledger.functions.text import json_field, looks_like_json
+from stockledger.functions.text import looks_like_json, with_json_fields
 from stockledger.operators.joins import not_in_scope, siblings
 from stockledger.operators.scan import EvenCells, running_total
 from stockledger.operators.stage import staged
@@ -145,19 +145,14 @@ def order_material(
     """Material of every manufacturing order: planned, reported, outstanding, transferred to the
     order (as its comments say) and what is left of that on the floor."""
     raw = F.col("RawText")
-    comments = (
-        catalog.table("CommentText")
-        .filter(
-            looks_like_json(raw)
-            & raw.contains('"ManufacturingOrderNumber":"')
-            & raw.contains('"NodePartNumber":"')
-        )
-        .select(
-            F.col("Id").alias("CommentId"),
-            json_field(raw, "ManufacturingOrderNumber").alias("to_order"),
-            json_field(raw, "NodePartNumber").alias("to_part"),
-        )
+    texts = catalog.table("CommentText").filter(
+        looks_like_json(raw) & raw.contains('"ManufacturingOrderNumber":"') & raw.contains('"NodePartNumber":"')
     )
+    comments = with_json_fields(
+        texts.select(F.col("Id").alias("CommentId"), "RawText"),
+        "RawText",
+        {"to_order": "ManufacturingOrderNumber", "to_part": "NodePartNumber"},
+    ).drop("RawText")
     transferred = (
         catalog.table("InventoryMovement")
         .filter(F.col("BusinessTransactionContextType") == move_code)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stockledger.functions.dates import date_fmt
 from stockledger.functions.labels import TRANSACTION_TYPE, code_label
-from stockledger.functions.text import concat_text, first_nonempty, has_braces, json_field, plus_text
+from stockledger.functions.text import concat_text, first_nonempty, has_braces, plus_text, with_json_fields
 from stockledger.operators.joins import attribute_lookup, lookup_in, pair_legs, typed_lookup
 from stockledger.plans.stock import PART_CLASS
 from stockledger.sources.catalog import Catalog
@@ -23,16 +23,16 @@ CLASSIFICATION_TEMPLATE = 1028374453433595363
 
 def _comments(catalog: Catalog) -> DataFrame:
     """Comments with the fields of the JSON that users write into them."""
-    raw = F.col("RawText")
-    return catalog.table("CommentText").select(
-        F.col("Id").alias("comment_id"),
-        raw.alias("comment_raw"),
-        F.col("Text").alias("comment_shown"),
-        json_field(raw, "ManufacturingOrderNumber").alias("json_order"),
-        json_field(raw, "ReportNumber").alias("json_report"),
-        json_field(raw, "EmployeeNumber").alias("json_employee"),
-        json_field(raw, "Comment").alias("json_comment"),
-    )
+    table = catalog.table("CommentText").select(
+        F.col("Id").alias("comment_id"), F.col("RawText").alias("comment_raw"), F.col("Text").alias("comment_shown")
+    )
+    keys = {
+        "json_order": "ManufacturingOrderNumber",
+        "json_report": "ReportNumber",
+        "json_employee": "EmployeeNumber",
+        "json_comment": "Comment",
+    }
+    return with_json_fields(table, "comment_raw", keys)
 
 
 def _with_json_person(catalog: Catalog, df: DataFrame) -> DataFrame:

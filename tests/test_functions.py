@@ -27,11 +27,22 @@ def one(spark, column, **values):
         ("plain", None),
         ("", None),
         (None, None),
+        ('{"Comment":"a \\"b\\" c","Other":"x"}', 'a "b" c'),
+        ('{"Comment":"first","Comment":"second"}', "first"),
+        ('{"Other":{"Comment":"inner"}}', "inner"),
     ],
 )
 def test_json_field(spark, raw, want):
     df = spark.createDataFrame([(raw,)], "raw string")
     assert df.select(text.json_field(F.col("raw"), "Comment").alias("x")).first()["x"] == want
+    assert text.with_json_fields(df, "raw", {"x": "Comment", "y": "Other"}).first()["x"] == want
+
+
+def test_json_fields_parse_once(spark):
+    df = spark.range(3).select(F.concat(F.lit('{"A":"'), "id", F.lit('","B":"x","C":"y"}')).alias("raw"))
+    got = text.with_json_fields(df, "raw", {"a": "A", "b": "B", "c": "C"})
+    assert [tuple(r)[1:] for r in got.orderBy("raw").collect()] == [(str(i), "x", "y") for i in range(3)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") == 1
 
 
 @pytest.mark.parametrize(
