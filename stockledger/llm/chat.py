@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from stockledger.llm.store import staged
 
 BLOCK = 256
-#: Most distinct values of a feature that get counts of their own, the most frequent ones.
-VALUES = 400
+#: A value of a feature gets counts of its own where one line in so many has it, whatever the number of such values.
+SUPPORT = 100_000
 
 ROLES = ("system", "user", "assistant")
 BEGINS, START = len(ROLES), 2 * len(ROLES)  # states: roles that begin, roles that go on, and the start
@@ -95,12 +95,13 @@ class Model:
         return states[::-1]
 
 
-def learn(lines: DataFrame, values: int = VALUES) -> Model:
-    """Counts over all labelled lines; what leaves Spark is a row per state and frequent value."""
+def learn(lines: DataFrame, support: int = SUPPORT) -> Model:
+    """Counts over all labelled lines; what leaves Spark is a row per state and value of enough support,
+    that is, for at most ``support`` values of a feature. The others count together."""
     known = lines.filter("state is not null")
-    counts = {}
+    counts, least = {}, known.count() / support
     for name in FEATURES:
-        top = known.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(values)
+        top = known.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n")).filter(F.col("n") >= least)
         rows = known.groupBy(F.col(name).alias("value"), "state").agg(F.count("*").alias("n")).join(F.broadcast(top.select("value")), "value").collect()
         counts[name] = {}
         for x in rows:

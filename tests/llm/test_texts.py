@@ -191,3 +191,14 @@ def test_sha_of_no_span_is_that_of_the_empty_text(spark, sf):
 
     empty = [r for r in op7_secret_scans(spark, sf).collect() if not r.spans]
     assert empty and all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in empty)
+
+
+def test_chat_keeps_every_marker_with_support(spark):
+    """More than 400 different speakers of one turn each: every marker is counted and stripped."""
+    names = [f"{a}{b}" for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for b in "abcdefghijklmnopqrst"]
+    data = [(n, t, role, f"{name}: some words of turn {t}") for n, name in enumerate(names) for t, role in enumerate(("user",))]
+    raw = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    model = chat.learn(chat.lines_of(raw, label_col="role"))
+    assert len(model.speakers) == len(names) > 500
+    few = chat.learn(chat.lines_of(raw, label_col="role"), support=100)
+    assert not few.speakers
