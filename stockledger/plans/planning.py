@@ -179,9 +179,8 @@ def order_plan(
     supply = _supply(catalog, start, end, parts.select(F.col("Id").alias("part")))
 
     days = with_days(parts.select(F.col("Id").alias("PartId")), first, final)
-    movement = catalog.table("InventoryMovement").join(
-        parts.select(F.col("Id").alias("PartId")), "PartId", "left_semi"
-    )
+    chosen = parts.select(F.col("Id").alias("PartId"))
+    movement = catalog.table("InventoryMovement").join(chosen, "PartId", "left_semi")
     after = day_start(F.date_add(final, 1), zone)
     # Of all days before the first, only the last row matters: they count as one day.
     before = F.date_sub(first, 1)
@@ -192,7 +191,8 @@ def order_plan(
     with_balance = asof_join(
         days, balances, ["PartId"], "day", "logged_day", ["last_balance"], tie=["LoggingTimeStamp", "Id"], dedupe=False
     )
-    movement = movement.filter(F.col("DeliveryDate") < after)
+    in_effect = catalog.between("InventoryMovement", "DeliveryDate", None, after).filter(F.col("DeliveryDate") < after)
+    movement = in_effect.join(chosen, "PartId", "left_semi")
     counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE).select(
         "PartId", "LoggingTimeStamp", "Id", F.greatest(day_of(F.col("DeliveryDate"), zone), before).alias("count_day"),
         F.col("LoggingTimeStamp").alias("counted_at"), F.col("BalanceOnPartAfterChange").alias("counted_balance"),

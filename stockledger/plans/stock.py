@@ -54,9 +54,9 @@ def _with_unit(catalog: Catalog, parts: DataFrame, check_part: bool) -> DataFram
     return parts.join(usage, same, "left").join(units, F.col("U_Id") == F.col("PUU_UnitId"), "left")
 
 
-def _last_counts(movement: DataFrame, condition: Column, prefix: str) -> DataFrame:
-    """Last recorded stock count per place among those that meet the condition."""
-    counts = movement.filter((F.col("BusinessTransactionContextType") == COUNT_CODE) & condition)
+def _last_counts(movement: DataFrame, prefix: str) -> DataFrame:
+    """Last recorded stock count per place among these movements."""
+    counts = movement.filter(F.col("BusinessTransactionContextType") == COUNT_CODE)
     latest = latest_per_group(counts, PLACE, [F.col("LoggingTimeStamp").desc(), F.col("Id").desc()])
     return latest.select(
         *PLACE,
@@ -99,23 +99,26 @@ def stock_rollforward(
     first, last = as_timestamp(start, zone), as_timestamp(end, zone)
     last_day = day_start(as_date(last, zone), zone)
     effective, logged = F.col("DeliveryDate"), F.col("LoggingTimeStamp")
-    movement = catalog.table("InventoryMovement")
+
+    def movement(low: Column | None, high: Column) -> DataFrame:
+        return catalog.between("InventoryMovement", "DeliveryDate", low, high)
 
     if variant == "cte":
-        before_start = effective.between(first - F.expr("interval 7 days"), first)
-        opening = _last_counts(movement, before_start, "opening")
-        ending = _last_counts(movement, in_days(effective, last_day, last_day, zone), "end")
+        opening = _last_counts(movement(first - F.expr("interval 7 days"), first), "opening")
+        next_day = day_start(F.date_add(as_date(last_day, zone), 1), zone)
+        ending = _last_counts(movement(last_day, next_day).filter(in_days(effective, last_day, last_day, zone)), "end")
         upper = last_day
     else:
-        opening = _last_counts(movement, effective == first - F.expr("interval 1 day"), "opening")
-        ending = _last_counts(movement, effective == last, "end")
+        day_before = first - F.expr("interval 1 day")
+        opening = _last_counts(movement(day_before, day_before), "opening")
+        ending = _last_counts(movement(last, last), "end")
         upper = last
 
     change, code = F.col("BalanceChange"), F.col("BusinessTransactionContextType")
     # Back-dated movements were recorded after the earliest of the opening counts, which keeps the
     # older history out of the shuffle. One count per place, so a movement meets at most one row.
     earliest = opening.select(F.min("opening_logged")).scalar()
-    late = movement.filter((code != COUNT_CODE) & (effective < first) & (logged >= earliest)).select(
+    late = movement(None, first).filter((code != COUNT_CODE) & (effective < first) & (logged >= earliest)).select(
         "Id", *PLACE, "BalanceChange", "LoggingTimeStamp"
     )
     back_dated = (
@@ -126,7 +129,7 @@ def stock_rollforward(
     )
 
     # The places with any movement in the period and the sums of those that count, in one pass.
-    in_period = movement.filter(effective.between(first, upper)).select(
+    in_period = movement(first, upper).select(
         "Id", *PLACE, "BusinessTransactionContextType", "BalanceChange", "LoggingTimeStamp", "WarehouseId"
     )
     if variant == "cte" and not cutoff:
@@ -260,8 +263,10 @@ def _month_end_counts(catalog: Catalog, year: int, warehouse: int) -> DataFrame:
     Only months with a count in the warehouse are reported. That test rides along in the same
     aggregate, so the counts are shuffled once.
     """
-    counts = catalog.table("InventoryMovement").filter(
-        (F.col("BusinessTransactionContextType") == COUNT_CODE) & in_year(F.col("DeliveryDate"), year, catalog.zone)
+    zone = catalog.zone
+    turns = [as_timestamp(f"{y}-01-01", zone) for y in (year, year + 1)]
+    counts = catalog.between("InventoryMovement", "DeliveryDate", *turns).filter(
+        (F.col("BusinessTransactionContextType") == COUNT_CODE) & in_year(F.col("DeliveryDate"), year, zone)
     )
     last = F.max(F.struct("DeliveryDate", "LoggingTimeStamp", "Id", "PhysicalInventoryBalance"))
     month_end = (

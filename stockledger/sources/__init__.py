@@ -1,3 +1,4 @@
 from stockledger.sources.catalog import Catalog
+from stockledger.sources.layout import write_by_month
 
-__all__ = ["Catalog"]
+__all__ = ["Catalog", "write_by_month"]

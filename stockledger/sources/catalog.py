@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockledger.functions.dates import day_start
+from stockledger.sources.layout import in_months, month_column
 from stockledger.sources.schema import TABLES, table_schema
 
 
@@ -39,6 +40,7 @@ class Catalog:
         self._loader = loader
         self._fill_missing = fill_missing
         self._tables: dict[str, DataFrame] = {}
+        self._raw: dict[str, DataFrame] = {}
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, **options) -> Catalog:
@@ -58,24 +60,47 @@ class Catalog:
         if name not in TABLES:
             raise KeyError(f"unknown table {name!r}")
         if name not in self._tables:
-            raw = self._loader(name)
-            have = {c.lower(): t for c, t in raw.dtypes}
-            columns = []
-            for field in table_schema(name).fields:
-                wanted = field.dataType
-                if field.name.lower() not in have:
-                    if not self._fill_missing:
-                        raise ValueError(f"table {name} has no column {field.name}")
-                    columns.append(F.lit(None).cast(wanted).alias(field.name))
-                elif have[field.name.lower()] == wanted.simpleString():
-                    columns.append(F.col(field.name).alias(field.name))
-                elif self.zone and have[field.name.lower()] == "date" and isinstance(wanted, T.TimestampType):
-                    columns.append(day_start(F.col(field.name), self.zone).alias(field.name))
-                else:
-                    columns.append(_exact(F.col(field.name), have[field.name.lower()], wanted).alias(field.name))
-            self._tables[name] = raw.select(*columns)
+            self._tables[name] = self._declared(name, self._source(name))
         return self._tables[name]
 
+    def between(self, name: str, time: str, low: Column | None = None, high: Column | None = None) -> DataFrame:
+        """The rows of a table whose ``time`` is from low to high, both included; None leaves a side open.
+
+        Of a table that ``write_by_month`` laid out by ``time`` only the months in question are read.
+        Bounds may be constants or scalar subqueries; the latter prune when the query runs.
+        """
+        if name not in TABLES:
+            raise KeyError(f"unknown table {name!r}")
+        raw = self._source(name)
+        if month_column(time).lower() in (c.lower() for c in raw.columns):
+            raw = raw.filter(in_months(time, low, high))
+        rows = self._declared(name, raw)
+        if low is not None:
+            rows = rows.filter(F.col(time) >= low)
+        return rows if high is None else rows.filter(F.col(time) <= high)
+
+    def _source(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw[name] = self._loader(name)
+        return self._raw[name]
+
+    def _declared(self, name: str, raw: DataFrame) -> DataFrame:
+        have = {c.lower(): t for c, t in raw.dtypes}
+        columns = []
+        for field in table_schema(name).fields:
+            wanted = field.dataType
+            if field.name.lower() not in have:
+                if not self._fill_missing:
+                    raise ValueError(f"table {name} has no column {field.name}")
+                columns.append(F.lit(None).cast(wanted).alias(field.name))
+            elif have[field.name.lower()] == wanted.simpleString():
+                columns.append(F.col(field.name).alias(field.name))
+            elif self.zone and have[field.name.lower()] == "date" and isinstance(wanted, T.TimestampType):
+                columns.append(day_start(F.col(field.name), self.zone).alias(field.name))
+            else:
+                columns.append(_exact(F.col(field.name), have[field.name.lower()], wanted).alias(field.name))
+        return raw.select(*columns)
+
     def aliased(self, name: str, alias: str, *columns: str) -> DataFrame:
         """The table with its columns renamed ``<alias>_<Column>``, so joins never clash."""
         df = self.table(name)
