@@ -2,9 +2,10 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative; how much, labelled
 pages tell: those with one ``article`` or ``main`` element, whose words and tags inside it are content.
-A word is weighed by the block it stands in, a tag by its name and first class. One linear scan finds
-the contiguous part of the greatest sum; whole blocks of it, without elements that are never content,
-are the text.
+A word is weighed by the block it stands in, a tag by its name and first class, one of a class never seen
+by its name alone. Elements named as boilerplate count as outside, so blocks like them score low under any
+name. One linear scan finds the contiguous part of the greatest sum; whole blocks of it, without elements
+that are never content, are the text.
 """
 
 from __future__ import annotations
@@ -35,65 +36,151 @@ _NAMES = re.compile(
     re.I,
 )
 _HEADERS = re.compile(r"^(?:(?:site-?|page-?|top-?)?header|masthead|topbar)$", re.I)
-_RAW = "script|style|textarea|title|noscript|iframe|xmp"
-_TOKEN = re.compile(rf"<!--(?:.*?-->|.*\Z)|<({_RAW})\b[^>]*>(?:.*?</\1\s*>|.*\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>", re.S | re.I)
+_RAW = frozenset("script style textarea title noscript iframe xmp".split())
+# A tag without angle brackets in its attributes; the groups give up nothing, so a failure costs one pass to the next bracket.
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/<>]*+)((?:[^\"'<>]++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>")
+_OPEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
+_STOP = re.compile(r"[\"'>]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_LONG_NUMBER = re.compile(r"&#0*+([0-9]{9,}|[xX][0-9a-fA-F]{9,});?")
+
+# Why a piece is no content: not at all, by a name of its element, by the element itself.
+_FREE, _NAMED, _BARRED = 0, 1, 2
 
 # (weight key, words, text, block, content, excluded)
-Piece = tuple[str, int, str, int, bool, bool]
+Piece = tuple[str, int, str, int, bool, int]
+
+
+def _decoded(text: str) -> str:
+    """Text with its character references decoded; numbers no character has, however long, are U+FFFD."""
+    if "&" not in text:
+        return text
+    return html.unescape(_LONG_NUMBER.sub(_short, text))
+
+
+def _short(found: re.Match) -> str:
+    digits = found[1]
+    if digits[0] in "xX":
+        digits = digits[1:].lstrip("0")
+        return f"&#x{digits or 0};" if len(digits) < 9 else "\ufffd"
+    return "\ufffd"
+
+
+def tags(page: str) -> Iterator[tuple[str, str, str, str]]:
+    """(text, slash, name, attributes) for every tag: the text before it and the tag, at the end the text left.
+
+    Comments, declarations and the contents of scripts and the like are skipped; such an element comes as one
+    tag whose slash is ``*``. Quoted values may hold angle brackets. A quote that never closes is a plain sign, and once a tag
+    has no end outside quotes, all tags behind it end at their first ``>``. Without any further ``>``
+    a ``<`` is text. So each sign is looked at a fixed number of times, whatever the page.
+    """
+    last = {c: page.rfind(c) for c in "\"'>"}
+    whole = True  # tags end outside quotes
+    closers: dict[str, re.Pattern] = {}
+    at, look = 0, 0
+    while (start := page.find("<", look)) >= 0:
+        if page.startswith("<!--", start):
+            yield page[at:start], "", "", ""
+            end = page.find("-->", start + 4)
+            at = look = len(page) if end < 0 else end + 3
+            continue
+        if last[">"] < start:
+            break
+        if page.startswith(("<!", "<?"), start) or page.startswith("</", start) and not _OPEN.match(page, start):
+            yield page[at:start], "", "", ""
+            at = look = page.find(">", start) + 1
+            continue
+        found = _TAG.match(page, start)
+        if found:
+            slash, name, attributes = found.groups()
+            end = found.end()
+        else:
+            opened = _OPEN.match(page, start)
+            if not opened:
+                look = start + 1
+                continue
+            slash, name = opened.groups()
+            end = -1
+            if whole:
+                end = _tag_end(page, opened.end(), last)
+                whole = end >= 0
+            if end < 0:
+                end = page.find(">", opened.end()) + 1
+            attributes = page[opened.end() : end - 1]
+        name = name.lower()
+        if name in _RAW and not slash:
+            if name not in closers:
+                closers[name] = re.compile(rf"</{name}\s*+>", re.I)
+            closed = closers[name].search(page, end)
+            slash, end = "*", closed.end() if closed else len(page)
+        yield page[at:start], slash, name, attributes
+        at = look = end
+    yield page[at:], "", "", ""
+
+
+def _tag_end(page: str, at: int, last: dict[str, int]) -> int:
+    """The place behind the first ``>`` outside quotes, or -1."""
+    while found := _STOP.search(page, at):
+        sign, at = found[0], found.end()
+        if sign == ">":
+            return at
+        if found.start() < last[sign]:
+            at = page.index(sign, at) + 1
+    return -1
 
 
 def pieces(page: str) -> Iterator[Piece]:
     """The tags (no words) and text runs of a page in order.
 
     ``content`` tells whether it is inside ``article`` or ``main``, ``excluded`` whether an element
-    around it is never content. Elements left open end with the element around them.
+    around it is never content, and why. Elements left open end with the element around them.
     """
-    stack: list[tuple[str, str, bool, bool]] = []  # name, key, excluded, content
-    block, at = 0, 0
-
-    def run(text: str) -> Iterator[Piece]:
-        text = html.unescape(text)
-        n = len(text.split())
+    stack: list[tuple[str, str, int, bool]] = []  # name, key of words, excluded, content
+    opened: Counter[str] = Counter()
+    block = 0
+    for text, slash, name, attributes in tags(page):
+        _, key, excluded, inside = stack[-1] if stack else ("", "", _FREE, False)
         if text:
-            key = next((x[1] for x in reversed(stack) if x[0] in _BLOCKS or x[0] == "a"), "")
-            yield f"word {key}", n, text, block, bool(stack) and stack[-1][3], bool(stack) and stack[-1][2]
-
-    for found in _TOKEN.finditer(page):
-        if found.start() > at:
-            yield from run(page[at : found.start()])
-        at = found.end()
-        raw, closing, name, attributes = found.groups()
-        if not name:  # comments, declarations and elements whose content is no markup
-            if raw and raw.lower() == "title":
+            text = _decoded(text)
+            yield f"word {key}", len(text.split()), text, block, inside, excluded
+        if not name or slash == "*":
+            if name == "title":
                 block += 1
             continue
-        name = name.lower()
-        inside, excluded = (stack[-1][3], stack[-1][2]) if stack else (False, False)
         if name in _BLOCKS:
             block += 1
-        if closing:
-            if any(x[0] == name for x in stack):
-                while stack.pop()[0] != name:
-                    pass
+        if slash:
+            if opened[name]:
+                while True:
+                    ended = stack.pop()[0]
+                    opened[ended] -= 1
+                    if ended == name:
+                        break
             yield f"/{name}", 0, "", block, inside, excluded
             continue
         names = [y for x in _ATTRIBUTE.findall(attributes) for y in "".join(x[1:]).split()] if attributes.strip() else []
-        key = ".".join([name, *names[:1]])
+        own = ".".join([name, *names[:1]])
         # A header of the article itself holds its title.
-        bad = excluded or name in _NEVER or any(_NAMES.match(x) for x in names) or not inside and (name == "header" or any(_HEADERS.match(x) for x in names))
+        if name in _NEVER or not inside and name == "header":
+            excluded = _BARRED
+        elif any(_NAMES.match(x) for x in names) or not inside and any(_HEADERS.match(x) for x in names):
+            excluded = max(excluded, _NAMED)
         inside = inside or name in ("article", "main")
-        yield key, 0, "", block, inside, bad
+        yield own, 0, "", block, inside, excluded
         if name == "br":
             yield "word br", 0, "\n", block, inside, excluded
         if name not in _VOID and not attributes.endswith("/"):
-            stack.append((name, key, bad, inside))
-    if at < len(page):
-        yield from run(page[at:])
+            stack.append((name, own if name in _BLOCKS or name == "a" else key, excluded, inside))
+            opened[name] += 1
+
+
+def _of_any_class(key: str) -> str:
+    """The key without the class: what is known of an element whose class was never seen."""
+    return key.partition(".")[0]
 
 
 class Weights:
-    """Scores of tags and words. Seen inside and outside alike: 0.5 for a word, -0.5 for a tag."""
+    """Scores of tags and words. Seen inside and outside alike: 0.5 for a word, -0.5 for a tag; an unknown class scores as its element."""
 
     def __init__(self, counts: dict[str, tuple[int, int]]) -> None:
         self.known = {}
@@ -106,7 +193,10 @@ class Weights:
         key, n, _, _, _, excluded = piece
         if excluded or key.startswith("word ") and not n:
             return 0.0
-        return n * self.known.get(key, 0.5) if n else self.known.get(key, -0.5)
+        known = self.known.get(key)
+        if known is None:
+            known = self.known.get(_of_any_class(key), 0.5 if n else -0.5)
+        return n * known if n else known
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -154,8 +244,12 @@ def learn_weights(labelled: DataFrame, html_col: str = "html", most: int = SAMPL
         for batch in batches:
             for x in batch.column(0):
                 for key, n, _, _, content, excluded in pieces(x.as_py()):
-                    if not excluded:
-                        (inside if content else outside)[key] += n or not key.startswith("word ")
+                    # Elements named as boilerplate teach what boilerplate looks like, also under other names.
+                    if excluded != _BARRED:
+                        side, seen = inside if content and not excluded else outside, n or not key.startswith("word ")
+                        side[key] += seen
+                        if (general := _of_any_class(key)) != key:
+                            side[general] += seen
         keys = list(inside | outside)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([inside[x] for x in keys], pa.int64()), pa.array([outside[x] for x in keys], pa.int64())], ["key", "inside", "outside"])
 

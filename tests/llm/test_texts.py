@@ -1,8 +1,12 @@
 """Packing, secrets, decontamination, pages and chat against plain forms."""
 
 import hashlib
+import html
+import random
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -144,6 +148,59 @@ def test_pages_give_the_article(spark):
     assert pages.extract(raw.limit(0), pages.learn_weights(raw.limit(0))).count() == 0
 
 
+PAGES = "/root/testdata/sf0.01/pages.parquet"
+
+
+def plain_article(page):
+    """The text of the one article element by plain patterns, for pages of simple markup."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    blocks = re.split(r"</?(?:h1|p|ul|li|div)\b[^>]*>", inner)
+    lines = (" ".join(html.unescape(re.sub(r"<[^>]+>", "", x.replace("<br>", "\n"))).split()) for x in blocks)
+    return "\n".join(x for x in lines if x)
+
+
+def test_all_pages_equal_the_plain_form(spark):
+    raw = spark.read.parquet(PAGES)
+    want = {r.page_id: plain_article(r.html) for r in raw.collect()}
+    assert {r.page_id: r.text for r in pages.extract(raw, pages.learn_weights(raw)).collect()} == want
+
+
+def test_learned_weights_leave_out_boilerplate_under_any_name(spark):
+    """Held-out pages without the marks of content, whose classes were renamed at random."""
+    raw = spark.read.parquet(PAGES)
+    weights = pages.learn_weights(raw.filter("page_id % 2 = 0"))
+    rng, hit, there, given = random.Random(3), 0, 0, 0
+    for r in raw.filter("page_id % 2 = 1").collect():
+        bare = re.sub(r"</?(?:article|main)\b[^>]*>", "", r.html)
+        bare = re.sub(r'(?:class|id|role)="[^"]*"', lambda _: f'class="{"".join(rng.choices("bcdfgqxz", k=7))}"', bare)
+        want, got = Counter(plain_article(r.html).split()), Counter(pages.main_text(bare, weights).split())
+        hit, there, given = hit + (want & got).total(), there + want.total(), given + got.total()
+    assert hit >= 0.9 * there and hit >= 0.9 * given and there > 1000
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "<b>" * 350_000, "<a '>'" * 170_000 + '"', "<p class='" + "ad!-" * 250_000 + "'>x", "<!--" * 250_000, "</b>" * 250_000,
+     "<script>" * 120_000, "<" * 1_000_000, "</" * 500_000 + ">", "<p " + "class=" * 160_000 + ">t", '<a ">' * 200_001, "&#" + "1" * 1_000_000 + ";"],
+    ids=lambda x: x[:12],
+)
+def test_odd_pages_take_linear_time(page):
+    start = time.perf_counter()
+    pages.main_text(page, pages.Weights({}))
+    assert time.perf_counter() - start < 5
+
+
+def test_odd_markup_keeps_its_text(spark):
+    weights = pages.Weights({})
+    cases = {
+        "a < b <p>c d e": "a < b\nc d e", "one <two": "one <two", '<p title="a>b">x</p>': "x", '<p title="a>x': "x", "<P>x<script>if (a<b) '</p>'</SCRIPT >y": "xy",
+        "&#65;&#x000000041;&#00000000000066;&#9999999999999;": "AAB\ufffd", "<p>x<!-- open <p>y": "x", "<?x?><!y>z</>": "z", "<title>t</title>x": "x",
+    }
+    assert {x: pages.main_text(x, weights) for x in cases} == cases
+    raw = spark.createDataFrame([(None, None, "<p>x", "a"), (None, None, "<p>x", "b"), (1, "u", None, None)], "page_id long, url string, html string, text string")
+    assert rows(pages.extract(raw, weights)) == rows(spark.createDataFrame([(None, None, "x", 1), (None, None, "x", 1), (1, "u", "", 0)], "a long, b string, c string, d long"))
+
+
 def test_best_region_equals_all_regions():
     rng = np.random.default_rng(1)
     for _ in range(50):
