@@ -5,8 +5,8 @@ the mean of the vectors of its characters, each read with the bytes next to it.
 either end; attention pools their states and a logistic unit scores the pool. All windows of a text
 are scored, each overlapping the next by half, and the text's score is that of its worst window.
 
-Training is plain numpy on a bounded sample. A text teaches through its worst window: if the label is
-1, that one should score high; if 0, even that one low.
+Training is plain numpy on a bounded sample of rows, whose texts are read whole. A text teaches through the
+worst of all its windows: if the label is 1, that one should score high; if 0, even that one low.
 """
 
 from __future__ import annotations
@@ -20,11 +20,9 @@ from pyspark.sql import functions as F
 
 from stockledger.llm import words as W
 
-#: Most labelled rows of each class that a fit takes, those of the least hash, and most windows of
-#: one of them, spread evenly. 3,000 texts of average length are 10 MB.
+#: Most labelled rows of each class that a fit takes, those of the least hash. Their texts are taken
+#: whole; 3,000 of average length are 10 MB.
 SAMPLE_PER_CLASS = 1_500
-SAMPLE_WINDOWS = 48
-SAMPLE_CHARS = 200_000
 
 WINDOW, STRIDE = 64, 32
 THRESHOLD = 0.5
@@ -205,9 +203,8 @@ class Network:
 
 def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network:
     """Fits a network. Without texts, or with one class, it scores all texts 0."""
-    rows = pa.array([x[:SAMPLE_CHARS] for x in texts], pa.string())
-    parts = [Texts(data, offsets) for _, data, offsets in W.column_slices(rows, 1 << 30)]
-    seen = Texts(np.zeros(0, np.uint8), np.zeros(2, np.int64)) if not parts else parts[0]
+    encoded = [x.encode() for x in texts]
+    seen = Texts(np.frombuffer(b"".join(encoded), np.uint8), np.cumsum([0, *map(len, encoded)]))
     n_words = len(seen.starts)
     owner = np.zeros(n_words, np.int64)
     for row, first, length in zip(seen.row, seen.first, seen.length):
@@ -220,10 +217,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network:
         return net
     rng, n = np.random.default_rng(seed), len(texts)
     weight = np.ones(n, np.float32)
-    # Windows that may teach: evenly spread ones of each text.
-    within = np.arange(len(seen.row)) - np.searchsorted(seen.row, seen.row)
-    total = np.bincount(seen.row, minlength=n)[seen.row]
-    use = np.flatnonzero((within * SAMPLE_WINDOWS // total) != ((within - 1) * SAMPLE_WINDOWS // total)) if len(within) else within
+    use = np.arange(len(seen.row))
     ids = net.ids(seen.hashes)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
@@ -274,13 +268,17 @@ def held_out(id_col: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_class: int = SAMPLE_PER_CLASS) -> Network:
-    """Trains on at most ``per_class`` labelled rows of either class that are not held out."""
+    """Trains on at most ``per_class`` labelled rows of either class that are not held out.
+
+    Of an id that repeats with unlike texts the least text counts, and an id with both labels teaches both.
+    """
     ids = labels.filter(F.col(target).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(target).cast("int").alias("y"))
-    sample = ids.filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(per_class).unionByName(ids.filter("y = 0").orderBy(F.xxhash64("id"), "id").limit(per_class))
+    sample = ids.filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(per_class).unionByName(ids.filter("y = 0").orderBy(F.xxhash64("id"), "id").limit(per_class)).distinct()
     # The sample's bound is the broadcast's: 16 bytes for each of its rows.
-    texts = docs.select(F.col(id_col).alias("id"), F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, SAMPLE_CHARS).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n0, n1 = ids.agg(F.count_if(F.col("y") == 0), F.count_if(F.col("y") == 1)).first()
-    rows = sorted((x["id"], x["y"], x["text"]) for x in texts.join(F.broadcast(sample), "id").limit(4 * per_class).collect())
+    chosen = texts.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
+    rows = sorted((x["id"], x["y"], x["text"]) for x in chosen.collect())
     y = np.array([x[1] for x in rows], np.int64)
     net = train([x[2] for x in rows], y)
     if n0 and n1:  # from the classes' shares in the sample to those among all labels

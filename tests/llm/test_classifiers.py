@@ -100,3 +100,44 @@ def test_toxic_words_are_learned(spark):
     net = toxicity.train(texts[:300], toxic[:300].astype(int))
     scores = np.concatenate([net.scores(d, o) for _, d, o in W.column_slices(pa.array(texts[300:]))])
     assert auc(scores, toxic[300:]) > 0.99
+
+
+def test_all_windows_of_a_sampled_text_compete(monkeypatch):
+    """Long texts too: nothing is cut, and windows without a turn in one epoch have one in the next."""
+    texts = ["a b c " * 50_000 + "the end", "", "d e", "é " * 3_000]
+    asked, plain = [], toxicity.Network.logits
+    monkeypatch.setattr(toxicity.Network, "logits", lambda net, seen, use: asked.append((len(seen.starts), use.tolist())) or plain(net, seen, use))
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    toxicity.train(texts, np.array([1, 0, 1, 0]))
+    n = [len(x.split()) for x in texts]
+    windows = sum(max(1, -(-(k - toxicity.WINDOW) // toxicity.STRIDE) + 1) for k in n)
+    assert asked == [(sum(n), list(range(windows)))]
+
+
+def test_scores_equal_one_window_at_a_time():
+    """The batch score against the worst of its windows, each scored alone as a text."""
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}" for a in "bdkl" for b in ("ra", "so", "ti")]
+    texts = [" ".join(rng.choice(words, int(n))) for n in (0, 1, 40, 64, 65, 96, 97, 300, 700)]
+    net = toxicity.train(texts * 6, np.arange(len(texts) * 6) % 2)
+
+    def alone(text):
+        w = text.split()
+        starts = range(0, max(1, len(w) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        # Windows hold whole words with a space at either end, as in the text.
+        return max(score_of(" ".join(w[i : i + toxicity.WINDOW])) for i in starts)
+
+    def score_of(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return net.scores(data, np.array([0, len(data)]))[0]
+
+    for text in texts:
+        assert abs(score_of(text) - alone(text)) < 1e-4
+
+
+def test_repeated_ids_teach_once(spark):
+    docs = spark.createDataFrame([(i % 40, f"{'vile ' if i % 2 else ''}word{i % 40}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 2, "doc_id long, toxic int")
+    once = toxicity.fit(docs.dropDuplicates(["doc_id"]), labels.dropDuplicates(["doc_id"]))
+    again = toxicity.fit(docs, labels)
+    assert all(np.array_equal(once.p[k], again.p[k]) for k in once.p)
