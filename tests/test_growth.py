@@ -45,3 +45,11 @@ def test_part_roles_are_distinct_where_keys_repeat(spark):
 def test_part_roles_compare_no_finished_rows(demo):
     keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", plan_of(planning.part_roles(demo)))
     assert keys and not any("PartType" in k or "RelativeRequirementNumber" in k for k in keys)
+
+
+def test_order_plan_sorts_rows_before_their_measures_are_written_out(demo):
+    plan = planning.order_plan(demo, "2024-01-10", "2024-01-11", ["P3", "P8"])
+    head, below = plan._jdf.queryExecution().optimizedPlan().toString().splitlines()[:2]
+    assert head.startswith("Project") and below.startswith("+- Sort [day")
+    days = [(r.TransactionDate, r.PartNumber) for r in plan.collect()]
+    assert days and days == sorted(days)
