@@ -186,22 +186,25 @@ def order_material(
         _texts(catalog, "Main"), F.col("MON_PartId") == F.col("Main_Id")
     )
     centers = catalog.aliased("WorkCenter", "WC")
-    operations = catalog.aliased("ManufacturingOrderOperation", "MOO").join(
-        centers, F.col("MOO_WorkCenterId") == F.col("WC_Id"), "left"
+    # What orders, nodes and operations say is put together before it meets the many materials, so these are
+    # shuffled once for it. Parts and transfers are far fewer than materials, which need no sort to find them.
+    headers = (
+        catalog.aliased("ManufacturingOrderOperation", "MOO")
+        .join(centers, F.col("MOO_WorkCenterId") == F.col("WC_Id"), "left")
+        .join(catalog.aliased("ManufacturingOrder", "MO"), F.col("MOO_ManufacturingOrderId") == F.col("MO_Id"))
+        .join(nodes, F.col("MOO_ManufacturingOrderNodeId") == F.col("MON_Id"))
     )
     joined = (
         catalog.aliased("ManufacturingOrderMaterial", "MOM")
-        .join(materials, F.col("MOM_PartId") == F.col("Mat_Id"))
-        .join(catalog.aliased("ManufacturingOrder", "MO"), F.col("MOM_ManufacturingOrderId") == F.col("MO_Id"))
-        .join(nodes, F.col("MOM_ManufacturingOrderNodeId") == F.col("MON_Id"))
+        .join(materials.hint("shuffle_hash"), F.col("MOM_PartId") == F.col("Mat_Id"))
         .join(
-            operations,
-            (F.col("MOO_ManufacturingOrderId") == F.col("MO_Id"))
-            & (F.col("MOO_ManufacturingOrderNodeId") == F.col("MON_Id"))
-            & (F.col("MOO_OperationNumber") == F.col("MOM_ToOperationNo")),
+            headers,
+            (F.col("MOM_ManufacturingOrderId") == F.col("MOO_ManufacturingOrderId"))
+            & (F.col("MOM_ManufacturingOrderNodeId") == F.col("MOO_ManufacturingOrderNodeId"))
+            & (F.col("MOM_ToOperationNo") == F.col("MOO_OperationNumber")),
         )
         .join(
-            transferred,
+            transferred.hint("shuffle_hash"),
             (F.col("moved_part") == F.col("Mat_Id"))
             & (F.col("to_order") == F.col("MO_OrderNumber"))
             & (F.col("to_part") == F.col("Main_PartNumber")),

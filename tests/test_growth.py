@@ -5,7 +5,7 @@ import re
 import pytest
 
 from conftest import plan_of, rows
-from stockledger.plans import planning
+from stockledger.plans import materials, planning
 from stockledger.sources.catalog import Catalog
 from stockledger.sources.demo import demo_catalog
 
@@ -53,3 +53,13 @@ def test_order_plan_sorts_rows_before_their_measures_are_written_out(demo):
     assert head.startswith("Project") and below.startswith("+- Sort [day")
     days = [(r.TransactionDate, r.PartNumber) for r in plan.collect()]
     assert days and days == sorted(days)
+
+
+def test_order_material_carries_its_rows_through_three_joins(demo, no_broadcast):
+    df = materials.order_material(demo)
+    node, joins = df._jdf.queryExecution().optimizedPlan(), 0
+    while not node.children().isEmpty():
+        joins += node.nodeName() == "Join"
+        node = node.children().head()
+    assert joins == 3
+    assert plan_of(df).count("ShuffledHashJoin") == 2
