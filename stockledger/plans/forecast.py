@@ -10,6 +10,7 @@ from stockledger.functions.labels import SCHEDULE_STATUS, code_label
 from stockledger.functions.numbers import exact_price, exact_total
 from stockledger.functions.text import concat_text
 from stockledger.operators.aggs import list_distinct
+from stockledger.operators.joins import salted_join
 from stockledger.operators.stage import staged
 from stockledger.operators.temporal import asof_join, first_match, latest_version
 from stockledger.plans.orders import DELETED, FINISHED, FIXED_ORDER, FORECAST, customers
@@ -229,6 +230,9 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
             F.col("PCL_UserCode").alias("user_code"),
         )
     )
+    # Few of all parts and customers with prices are planned; the others go before the prices are put in order.
+    asked = summed.select("DSP_PartId", "DS_CustomerId").distinct().hint("shuffle_hash")
+    prices = salted_join(prices, asked, ["DSP_PartId", "DS_CustomerId"], "PriceChangeDate", "left_semi", salts=4)
     priced = asof_join(
         summed.withColumn("delivery_day", day_of(F.col("DSC_DeliveryDate"), catalog.zone)),
         prices,
@@ -238,10 +242,12 @@ def _scheduled(catalog: Catalog, start, end) -> DataFrame:
         ["PriceChangeDate", "price", "CurrencyCode", "user_code"],
     )
     joined = _part_lookups(catalog, priced, "DSP_PartId", "DS_CustomerId", "DSP_UnitId")
-    grouped = joined.groupBy(
+    # The greatest texts are found by sorting, which is faster with many values in front. Few rows are alike, so
+    # that is done behind the shuffle alone.
+    grouped = joined.repartition("P_PartNumber", "DSP_CustomerOrderNumber", "DSC_DeliveryDate").groupBy(
+        F.col("P_PartNumber").alias("PartNumber"),
         F.col("CR_CustomerCode").alias("CustomerCode"),
         "CR_Name",
-        F.col("P_PartNumber").alias("PartNumber"),
         F.col("CPL_CustomerPartNumber").alias("CustomerPartNumber"),
         F.col("DSP_CustomerOrderNumber").alias("CustomerOrderNumber"),
         F.col("DSC_DeliveryDate").alias("DeliveryDate"),

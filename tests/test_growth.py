@@ -1,11 +1,12 @@
 """Reports whose shuffles or memory grew beyond their rows: results on repeated keys, and the shape of their plans."""
 
 import re
+from datetime import datetime
 
 import pytest
 
 from conftest import plan_of, rows
-from stockledger.plans import materials, planning
+from stockledger.plans import forecast, materials, planning
 from stockledger.sources.catalog import Catalog
 from stockledger.sources.demo import demo_catalog
 
@@ -63,3 +64,53 @@ def test_order_material_carries_its_rows_through_three_joins(demo, no_broadcast)
         node = node.children().head()
     assert joins == 3
     assert plan_of(df).count("ShuffledHashJoin") == 2
+
+
+def test_sales_plan_groups_order_lines_once(spark, sf, tmp_path, monkeypatch):
+    whole = rows(forecast.sales_plan(demo_catalog(spark, sf), "1997-01-01", "1998-12-31"))
+    read = type(spark.conf).get
+    folder = lambda conf, key, *rest: str(tmp_path) if key == "spark.checkpoint.dir" else read(conf, key, *rest)
+    monkeypatch.setattr(type(spark.conf), "get", folder)
+    df = forecast.sales_plan(demo_catalog(spark, sf, lines_once=True), "1997-01-01", "1998-12-31")
+    assert "l_linenumber" not in " ".join(re.findall(r"Aggregate\(key=?s?=\[(.*?)\]", plan_of(df)))
+    assert whole and rows(df) == whole
+
+
+def test_sales_plan_orders_prices_of_planned_parts_only(demo, no_broadcast):
+    joins = re.findall(r"ShuffledHashJoin .*", plan_of(forecast.sales_plan(demo, "1997-01-01", "1998-12-31")))
+    assert len(joins) == 1 and "LeftSemi" in joins[0]
+
+
+def test_sales_plan_takes_the_price_of_its_part_customer_and_day(spark):
+    time = "timestamp_ntz"
+    day = datetime.fromisoformat
+    cat = catalog_of(
+        spark,
+        {
+            "DeliveryScheduleCall": (
+                f"ParentId long, DemandType int, DeliveryDate {time}, Quantity double",
+                [(i, forecast.FORECAST, day(f"2024-03-0{i}"), float(i)) for i in (1, 2, 3, 4, 5)] + [(5, forecast.FORECAST, day("2024-03-05"), 5.0)],
+            ),
+            "DeliverySchedulePart": ("Id long, ParentId long, PartId long", [(1, 1, 10), (2, 1, 20), (3, 2, 10), (4, 3, None), (5, 4, 10)]),
+            "DeliverySchedule": (
+                f"Id long, CustomerId long, CustomerDeliveryScheduleDate {time}",
+                [(1, 7, day("2024-01-01")), (2, 8, day("2024-01-01")), (3, 7, day("2024-01-01")), (4, None, day("2024-01-01"))],
+            ),
+            "PriceChangeLog": (
+                f"PartId long, CustomerId long, NewPrice double, Timestamp {time}, PriceType int, IsSetupPrice int",
+                [(10, 7, p, day(t), 3, 0) for p, t in ((1.0, "2024-02-01"), (2.0, "2024-03-01"), (2.0, "2024-03-01"), (3.0, "2024-03-02"))]
+                + [(20, 8, 9.0, day("2024-02-01"), 3, 0), (None, 7, 9.0, day("2024-02-01"), 3, 0), (10, None, 9.0, day("2024-02-01"), 3, 0)],
+            ),
+            "Currency": ("Id long, Code string", []),
+            "Unit": ("Id long, CodeId long", []),
+            "DynamicPhrase": ("Id long, Text string", []),
+            "Part": ("Id long, PartNumber string", [(10, "P10"), (20, "P20")]),
+            "Customer": ("Id long, RootId long", [(7, 7), (8, 8)]),
+            "CustomerRoot": ("Id long, CustomerCode string", [(7, "C7"), (8, "C8")]),
+            "CustomerPartLink": ("PartId long, CustomerId long, CustomerPartNumber string", []),
+        },
+    )
+    got = forecast.sales_plan(cat, "2024-03-01", "2024-03-05", include_orders=False)
+    assert rows(got.selectExpr("CustomerCode", "PartNumber", "cast(PlannedQuantity as int)", "cast(PriceEach as int)")) == [
+        ("C7", "P10", 1, 2), ("C7", "P20", 2, None), ("C8", "P10", 3, None),
+    ]
