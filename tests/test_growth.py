@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 
 from conftest import plan_of, rows
-from stockledger.plans import forecast, materials, planning
+from stockledger.plans import forecast, materials, movements, planning
 from stockledger.sources.catalog import Catalog
 from stockledger.sources.demo import demo_catalog
 
@@ -114,3 +114,52 @@ def test_sales_plan_takes_the_price_of_its_part_customer_and_day(spark):
     assert rows(got.selectExpr("CustomerCode", "PartNumber", "cast(PlannedQuantity as int)", "cast(PriceEach as int)")) == [
         ("C7", "P10", 1, 2), ("C7", "P20", 2, None), ("C8", "P10", 3, None),
     ]
+
+
+def test_movements_without_references_meet_only_their_part(demo):
+    node, joins = movements.location_transactions(demo)._jdf.queryExecution().optimizedPlan(), 0
+    while node.nodeName() != "Union":
+        joins += node.nodeName() == "Join"
+        node = node.children().head()
+    assert joins == 1
+
+
+def test_location_transactions_are_distinct_with_and_without_references(spark):
+    none = {
+        "Customer": "Id long, RootId long", "CustomerRoot": "Id long, CustomerCode string", "Supplier": "Id long, RootId long",
+        "SupplierRoot": "Id long, SupplierCode string", "PurchaseOrder": "BusinessContactId long, OrderNumber string",
+        "CustomerOrderInvoice": "Id long, DeliveryNoteNumber string", "PartUnitUsage": "Id long, ConversionFactor decimal(18,4)",
+        "ExtraField": "ParentId long, ParentClass string, TemplateId long, String string", "DynamicPhrase": "Id long, Text string",
+    }
+    cat = catalog_of(
+        spark,
+        {name: (schema, []) for name, schema in none.items()}
+        | {
+            "CustomerOrder": ("Id long, OrderNumber string", [(5, "O5"), (5, "O5")]),
+            "ManufacturingOrder": ("OrderNumber string", [("M1",)]),
+            "CustomerOrderDeliveryRow": ("CustomerOrderId long, QuantityChangeId long", [(5, 1)]),
+            "Part": ("Id long, PartNumber string", [(1, "P1"), (1, "Q1"), (2, "P2"), (None, "P0")]),
+            "ReasonCodeUnplannedStockMovement": ("Id long, Code string", [(4, "R4")]),
+            "CommentText": ("Id long, RawText string, Text string", [(3, "by hand", "by hand"), (3, "by hand", "by hand"), (9, "by hand", "by hand")]),
+            "Person": ("Id long, EmployeeNumber string, FirstName string", [(6, "E6", "Ann"), (8, "", "Bo")]),
+            "InventoryMovement": (
+                "PartId long, LocationName string, OrderNumber string, BusinessTransactionContextType int, QuantityChangeId long, "
+                "PersonId long, ReasonCodeUnplannedStockMovementId long, CommentId long",
+                [(1, "a", None, 4, None, None, None, None), (1, "a", None, 4, None, None, None, None), (2, "a", None, None, None, None, None, None)]
+                + [(p, "a", None, 4, None, None, None, None) for p in (77, 78, None)]
+                + [(2, "b", "O5", 3, 1, None, None, None), (2, "b", "O5", 4, 1, None, None, None), (2, "b", "M1", 11, None, None, None, None)]
+                + [(2, "c", None, 4, None, 6, None, None), (2, "c", None, 4, None, 8, None, None), (2, "c", None, 4, None, None, 4, None)]
+                + [(2, "d", None, 4, None, None, None, c) for c in (3, 9, 404)] + [(77, "d", None, 4, None, None, None, 3)],
+            ),
+        },
+    )
+    got = movements.location_transactions(cat).selectExpr(
+        "InventoryMovementLocationName", "PartPartNumber", "CustomerOrderOrderNumber", "ManufacturingOrderOrderNumber", "TransactionTypeId",
+        "_UserEmployeeNumber", "_UserFullName", "CauseCode", "InventoryMovementCommentRawText",
+    )
+    want = [("a", p, None, None, t, None, "", None, None) for p, t in (("P1", 4), ("Q1", 4), ("P2", None), (None, 4))]
+    want += [("b", "P2", "O5", None, 3, None, "", None, None), ("b", "P2", None, None, 4, None, "", None, None)]
+    want += [("b", "P2", None, "M1", 11, None, "", None, None), ("c", "P2", None, None, 4, "E6", "Ann ", None, None)]
+    want += [("c", "P2", None, None, 4, None, "", None, None), ("c", "P2", None, None, 4, None, "", "R4", None)]
+    want += [("d", p, None, None, 4, None, "", None, t) for p, t in (("P2", "by hand"), ("P2", None), (None, "by hand"))]
+    assert rows(got) == sorted(want, key=lambda r: [(v is None, str(v)) for v in r])
